@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annulet.llm import best_record, top_n
+from annulet.llm import best_record, prefix_bpe, source_mix, top_n
 from annulet.session import table
 
 
@@ -29,7 +29,26 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return top_n.top_n(hits, "query_id", "bit_score", ["identity"], "aln_id", 3).select("query_id", "aln_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_bpe.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, d, "mix_targets")
+    sizes = source_mix.sized(table(spark, d, "documents"), targets)
+    rates = source_mix.rates(sizes, targets)
+    return source_mix.mix(sizes, rates), rates
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return source_mix.shares(*_mix(spark, d))
+
+
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares}
 
 _MISSING = ", ".join(f"'{x}'" for x in best_record.MISSING)
 _T = lambda c: f"({c} IS NOT NULL AND lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')) NOT IN ({_MISSING}))"
