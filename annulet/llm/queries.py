@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annulet.llm import best_record, prefix_bpe, source_mix, top_n
+from annulet.llm import best_record, prefix_bpe, ring_join, source_mix, top_n
 from annulet.session import table
 
 
@@ -24,6 +24,12 @@ def p2_records(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("cluster_id", *fields, F.col("place.rec").alias("place_rec"), F.col("support.rec").alias("support_rec"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    tandem = ring_join.ring_pairs(table(spark, d, "tandem").select(F.col("rec_id").alias("id"), F.col("consSeq").alias("seq")))
+    circles = ring_join.circle_pairs(table(spark, d, "inferred_chimeric"))
+    return tandem.select(F.lit("tandem").alias("src"), "*").unionByName(circles.select(F.lit("inferred_chimeric").alias("src"), "*"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     hits = top_n.latest(table(spark, d, "alignments"), "aln_id", "loaded_at", ["query_id", "bit_score", "identity"])
     return top_n.top_n(hits, "query_id", "bit_score", ["identity"], "aln_id", 3).select("query_id", "aln_id")
@@ -48,7 +54,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return source_mix.shares(*_mix(spark, d))
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares}
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares}
 
 _MISSING = ", ".join(f"'{x}'" for x in best_record.MISSING)
 _T = lambda c: f"({c} IS NOT NULL AND lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')) NOT IN ({_MISSING}))"
