@@ -35,35 +35,34 @@ from pyspark.sql import functions as F
 
 from annulet.llm import ring_kernel
 from annulet.operators.interval_sweep import chromosome
+from annulet.session import cut
 
 LETTERS_PER_PART = 6_000_000
 
 
 def _turned(df: DataFrame) -> DataFrame:
-    """id, ring: the least rotation of every sequence, in upper case."""
+    """id, n, ring: the least rotation of every sequence, in upper case and packed, with its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rings = ring_kernel.canonical([s.encode() for s in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.decode() for s in rings], pa.string())], ["id", "ring"])
+            packed = pa.array(map(ring_kernel.pack, rings), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, rings), pa.int32()), packed], ["id", "n", "ring"])
 
     # Rotation is counted in bytes, so letters outside ASCII are left out as no bases.
     rows = df.select(F.col("id").cast("bigint"), F.upper("seq").alias("seq")).where(r"length(seq) > 0 and length(seq) = octet_length(seq) and id is not null")
-    return rows.mapInArrow(run, "id bigint, ring string")
-
-
-def _keyed(df: DataFrame) -> DataFrame:
-    return df.select("id", F.xxhash64("ring").alias("h1"), F.xxhash64(F.lit(1), "ring").alias("h2"), "ring")
+    return rows.mapInArrow(run, "id bigint, n int, ring binary")
 
 
 def classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Representatives (cls, ring) and membership (id, cls) of rings that are equal, from (id, seq)."""
-    keyed = _keyed(_turned(df))
-    best = keyed.groupBy("h1", "h2").agg(F.min(F.struct("id", "ring")).alias("r"))
-    ids = _keyed(_turned(df)).select("id", "h1", "h2").distinct()
-    groups = ids.groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.max("id").alias("top"))
-    members = ids.join(groups.where("cls < top"), ["h1", "h2"]).select("id", "cls")  # only of classes with several
-    return best.select(F.col("r.id").alias("cls"), "r.ring"), members
+    """Representatives (cls, n, ring) and membership (id, cls) of rings that are equal, from (id, seq)."""
+    keys = [F.xxhash64("ring", "n").alias("h1"), F.xxhash64(F.lit(1), "ring", "n").alias("h2")]
+    turned = _turned(df).select("id", "n", "ring", *keys)
+    best = turned.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "ring")).alias("r"))
+    ids = cut(turned.select("id", "h1", "h2"))  # narrow, and read several times
+    groups = ids.groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.max("id").alias("top")).where("cls < top")
+    members = ids.join(groups, ["h1", "h2"]).select("id", "cls").distinct()  # only of classes with several
+    return best.select(F.col("r.id").alias("cls"), "r.n", "r.ring"), members
 
 
 def band(letters: Column, percent: int) -> Column:
@@ -80,13 +79,13 @@ def class_pairs(df: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     letters = {r["band"]: r["letters"] for r in bands}
     parts = {b: math.ceil((n + letters.get(b - 1, 0)) / LETTERS_PER_PART) for b, n in letters.items()}
     plan = F.broadcast(spark.createDataFrame([(b, p) for b, p in parts.items()] or [(-1, 1)], "band int, parts int"))
-    own = reps.withColumn("b", band(F.length("ring"), percent))
-    placed = own.select("cls", "ring", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("band"), F.col("b")).join(plan, "band")
+    own = reps.withColumn("b", band(F.col("n"), percent))
+    placed = own.select("cls", "n", "ring", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("band"), F.col("b")).join(plan, "band")
     placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tasks = max(spark.sparkContext.defaultParallelism * 4, sum(parts.values()))
 
     def run(table: pa.Table) -> pa.Table:
-        rings = [s.encode() for s in table["ring"].to_pylist()]
+        rings = [ring_kernel.unpack(p, n) for p, n in zip(table["ring"].to_pylist(), table["n"].to_pylist())]
         mine = table["b"].to_numpy() == table["band"].to_numpy()
         pairs = ring_kernel.close_pairs(rings, mine, table["part"][0].as_py(), table["parts"][0].as_py(), percent)
         ids = table["cls"].to_numpy()
@@ -131,7 +130,7 @@ def circles(df: DataFrame) -> DataFrame:
 
 def circle_pairs(df: DataFrame, reach: int = 20, cell: int = 256) -> DataFrame:
     """id_a < id_b of circles whose segments agree, going round, one of them passed over at most."""
-    rows = circles(df)
+    rows = cut(circles(df))  # one row a circle, read several times
     reps = rows.groupBy("segs").agg(F.min("circle").alias("cls"), F.max("circle").alias("top"), F.size("segs").alias("n"))
     members = rows.join(reps.where("cls < top").select("segs", "cls"), "segs").select(F.col("circle").alias("id"), "cls")
     at = lambda c: F.floor(c / cell)

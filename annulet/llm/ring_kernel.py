@@ -11,10 +11,24 @@ _CODE = np.full(256, 5, np.uint64)
 for _i, _c in enumerate(b"ACGTN"):
     _CODE[_c] = _i
 
+_DIGITS = bytes.maketrans(b"ACGT", b"0123")
+_QUADS = [bytes(b"ACGT"[i >> s & 3] for s in (6, 4, 2, 0)) for i in range(256)]
+
 ANCHORS_AT_ONCE = 2_000_000
 PAIRS_AT_ONCE = 2048
 
 
+def pack(s: bytes) -> bytes:
+    """Four letters a byte after a 1; after a 0 the letters themselves, where there are others than ACGT."""
+    if s.strip(b"ACGT") or s.translate(None, b"ACGT"):
+        return b"\0" + s
+    return b"\1" + int(s.translate(_DIGITS), 4).to_bytes((len(s) + 3) // 4, "big")
+
+
+def unpack(p: bytes, n: int) -> bytes:
+    return p[1:] if p[0] == 0 else b"".join(map(_QUADS.__getitem__, p[1:]))[-n:]
+
+
 def edits(n: int | np.ndarray, percent: int = 6) -> int | np.ndarray:
     """How many edits a pair may have whose longer ring has n letters."""
     return n * percent // 100
