@@ -66,7 +66,6 @@ ITEM = re.compile(rf"(?<![\w@%$])(?:(?P<name>{_NAME}(?:-{_NAME})*)(?![\w@]|-\w)|
 LOWER = re.compile(r"(?<![\w@./_=-])[a-zà-ÿ]{3,}(?![\w@/_=(]|[.-]\w)")
 TOKEN = re.compile(r"[A-Za-zÀ-ÿ]+|\d+|\n|[^\w\s]|[^\W\d_]")
 _END = {".", "!", "?", "\n", "。", "！", "？"}
-_STRIP = str.maketrans("", "", ".")
 
 
 @dataclass
@@ -130,7 +129,7 @@ def units(text: str, taken: list[tuple[int, int]]) -> Iterator[Unit]:
 
     def finish() -> Iterator[Unit]:
         part, titled = list(items), False
-        while part and not (part[0][3] and part[0][2] != "M.") and part[0][2].translate(_STRIP).lower() in TITLES:
+        while part and not part[0][3] and part[0][2].lower() in TITLES:
             titled = True
             part.pop(0)
         items.clear()
@@ -148,7 +147,9 @@ def units(text: str, taken: list[tuple[int, int]]) -> Iterator[Unit]:
         if items:
             last = items[-1]
             gap = text[last[1] : start]
-            title = last[2].translate(_STRIP).lower() in TITLES and not last[3]
+            title = last[2].lower() in TITLES and not last[3]
+            if not title and not item[3] and item[2].lower() in TITLES:
+                yield from finish()  # a title begins another name
             joined = gap == " " or title and gap == ". " or (last[3] or item[3]) and gap == "" or item[3] and gap == ", " and not last[3]
             if not joined:
                 yield from finish()
@@ -211,6 +212,14 @@ def people(text: str, taken: list[tuple[int, int]], model: Model) -> Iterator[tu
         expected = unit.titled or sum(p in model.person_contexts for p in found) >= 2
         known = [i or any(w in model.names for w in words_of(t)) for _, _, t, i in unit.items]
         maybe = [k or (expected and any(w in model.either for w in words_of(t))) for k, (_, _, t, _) in zip(known, unit.items)]
+        near = unit.titled or any(p in model.person_contexts for p in found)
+        real = [n for n, x in enumerate(unit.items) if not x[3]]
+        if near and len(real) > 1:  # an unseen name beside a known one, or before an initial, where people are named
+            a, b = real[-2:]
+            if known[a] and not known[b] or known[b] and not known[a] and unit.items[a][2].isupper():
+                maybe[a] = maybe[b] = True
+        if near and not any(known[n] for n in real) and unit.items[-1][3] and len(unit.items) > 1:
+            maybe[real[-1]] = True
         if not any(m and not x[3] for m, x in zip(maybe, unit.items)):
             if unit.titled or expected and len(unit.items) == 2 and not any(w in model.either for *_, t, _ in unit.items for w in words_of(t)):
                 maybe = [True] * len(unit.items) if len(unit.items) < 4 else maybe  # unseen names where people are named
@@ -272,12 +281,14 @@ def observe(text: str) -> Iterator[tuple[str, str, str]]:
     for unit in units(text, taken):
         found = ["<title> _"] if unit.titled else []
         found += patterns(text, unit.start, unit.end)
-        opens = not unit.titled and left_of(text, unit.start, 1)[0] in _END | {"<s>"} and len(unit.items) > 1
+        # The first of several capitalised words may only begin a sentence, unless a word or a comma stands before it.
+        before = left_of(text, unit.start, 1)[0]
+        opens = not unit.titled and len(unit.items) > 1 and before != "," and not before.isalpha()
         for n, (_, _, t, initial) in enumerate(unit.items):
             if initial:
                 continue
             for w in words_of(t):
-                yield "case", w, "cap"
+                yield "case", w, "open" if opens and not n else "cap"
                 if n or not opens:
                     for p in found:
                         yield "edge", p, w

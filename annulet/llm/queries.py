@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annulet.llm import best_record, prefix_bpe, ring_join, source_mix, top_n
+from annulet.llm import best_record, pii, prefix_bpe, ring_join, source_mix, top_n
 from annulet.session import table
 
 
@@ -54,7 +54,17 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return source_mix.shares(*_mix(spark, d))
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.learn(docs, table(spark, d, "person_words")))
+
+
+def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pii.redact(docs, pii.learn(docs, table(spark, d, "person_words")))
+
+
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 _MISSING = ", ".join(f"'{x}'" for x in best_record.MISSING)
 _T = lambda c: f"({c} IS NOT NULL AND lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')) NOT IN ({_MISSING}))"
