@@ -65,6 +65,7 @@ _NAME = r"(?:[A-ZÀ-Þ][a-zà-ÿ]+|[A-ZÀ-Þ]{3,})"
 ITEM = re.compile(rf"(?<![\w@%$])(?:(?P<name>{_NAME}(?:-{_NAME})*)(?![\w@]|-\w)|(?P<initial>[A-ZÀ-Þ]\.)(?!\w*@)(?=[ ,;)\n\"]|{_NAME}|[A-ZÀ-Þ]\.|$|\W))")
 LOWER = re.compile(r"(?<![\w@./_=-])[a-zà-ÿ]{3,}(?![\w@/_=(]|[.-]\w)")
 TOKEN = re.compile(r"[A-Za-zÀ-ÿ]+|\d+|\n|[^\w\s]|[^\W\d_]")
+_CAPITAL_END = re.compile(r"[A-ZÀ-Þ][A-Za-zà-ÿ]+ ?[,(] ?\Z")
 _END = {".", "!", "?", "\n", "。", "！", "？"}
 
 
@@ -102,8 +103,13 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 
 def context(text: str, start: int) -> str:
-    """The two tokens before a number."""
-    return " ".join(left_of(text, start))
+    """What stands before a number: two tokens, or one where the token before that may be anything."""
+    before, last = left_of(text, start)
+    if last == "<s>":
+        return last
+    if last in (",", "(") and _CAPITAL_END.search(text[max(0, start - 32) : start]):
+        return f"Aa {last}"
+    return f"{before} {last}"
 
 
 @dataclass
@@ -202,8 +208,12 @@ def _fitting(text: str, address: tuple[int, int, str, bool], model: Model) -> tu
 
 
 def _cued(text: str, start: int, cues: set[str], contexts: set[str]) -> bool:
-    near = left_of(text, start, 3)
-    return context(text, start) in contexts or any(t in cues for t in near)
+    if context(text, start) in contexts:
+        return True
+    for t in reversed(left_of(text, start, 7)):
+        if t in cues or t == "9":
+            return t in cues  # another number stands between
+    return False
 
 
 def people(text: str, taken: list[tuple[int, int]], model: Model) -> Iterator[tuple[int, int]]:
