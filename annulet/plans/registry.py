@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annulet.plans import data_quality
+from annulet.plans import alignment_queries, data_quality, interval_queries, tandem_queries
 
-MODULES = (data_quality,)
-FLAGSHIP = "p5_found"
+MODULES = (data_quality, alignment_queries, tandem_queries, interval_queries)
+FLAGSHIP = "q2_summary"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
