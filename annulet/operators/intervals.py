@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annulet.functions.scalars import reciprocal
+
 
 def islands(df: DataFrame, keys: list[str], lo: str, hi: str, order: list[str], slack: int = 0, name: str = "island") -> DataFrame:
     """A number per island: a row opens a new one if its start is more than ``slack`` after every end before it."""
@@ -50,13 +52,25 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], a_ends: tuple[str,
     return pairs.withColumn("overlap", F.least(a_hi, b_hi) - F.greatest(a_lo, b_lo)).drop("_tile")
 
 
-def near_start_join(a: DataFrame, b: DataFrame, keys: list[str], a_lo: str, b_lo: str, reach: int) -> DataFrame:
-    """Pairs with equal keys whose starts are at most ``reach`` apart: cells of that width, b listed in its own and both neighbours."""
-    cells = b.withColumn("_cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col(b_lo) / reach) + i)))
-    return a.withColumn("_cell", F.floor(F.col(a_lo) / reach)).join(cells, [*keys, "_cell"]).where(F.abs(F.col(a_lo) - F.col(b_lo)) <= reach).drop("_cell")
-
-
 def count_overlaps(a: DataFrame, windows: DataFrame, keys: list[str], a_key: str, a_ends: tuple[str, str], w_ends: tuple[str, str], name: str) -> DataFrame:
     """a with the number of windows each of its rows overlaps, 0 included."""
     hits = overlap_join(a.select(*keys, a_key, *a_ends), windows, keys, a_ends, w_ends).groupBy(a_key).agg(F.count("*").alias(name))
     return a.join(hits, a_key, "left").na.fill(0, [name])
+
+
+def reciprocal_join(a: DataFrame, b: DataFrame, keys: list[str], a_ends: tuple[str, str], b_ends: tuple[str, str], share: float = 0.99, tolerance: int = 20) -> DataFrame:
+    """Pairs with equal keys whose intervals match reciprocally (see ``scalars.reciprocal``).
+
+    Both starts and lengths of such a pair are close, so rows meet by class of length (powers of two) and a cell of
+    the start as wide as that class allows starts to differ; b is listed in the neighbouring cells and classes.
+    """
+    (a_lo, a_hi), (b_lo, b_hi) = a_ends, b_ends
+    size = lambda lo, hi: F.greatest(F.col(hi) - F.col(lo), F.lit(1)).cast("double")
+    level = lambda n: F.floor(F.log2(F.greatest(n, F.lit(1.0)))).cast("int")
+    width = lambda c: F.ceil(F.greatest(F.lit(float(tolerance + 1)), F.pow(F.lit(2.0), c + 1) * ((1 - share) / share + 0.01 * (1 - share)) + tolerance))
+    left = a.withColumn("_class", level(size(a_lo, a_hi))).withColumn("_cell", F.floor(F.col(a_lo) / width(F.col("_class"))))
+    n = size(b_lo, b_hi)
+    right = b.withColumn("_class", F.explode(F.sequence(level((n - 2 * tolerance) * share), level((n + 2 * tolerance) / share))))
+    right = right.withColumn("_cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col(b_lo) / width(F.col("_class"))) + i)))
+    same = reciprocal(F.col(a_lo), F.col(a_hi), F.col(b_lo), F.col(b_hi), share, tolerance)
+    return left.join(right, [*keys, "_class", "_cell"]).where(same).drop("_class", "_cell")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annulet.operators import classify as C
@@ -91,9 +91,6 @@ def a39_full_length_repeats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def a40_identity_gap(spark: SparkSession, d: str) -> DataFrame:
-    # The two best by value; a group's hits are never gathered.
-    from pyspark.sql import Window
-
     w = Window.partitionBy("query_id").orderBy(F.desc("identity"), "aln_id")
     top = C.prepared(_rows(spark, d)).where("identity is not null").withColumn("rn", F.row_number().over(w)).where("rn <= 2")
     out = top.groupBy("query_id").agg(F.max("identity").alias("a"), F.min("identity").alias("b"), F.count("*").alias("n"))

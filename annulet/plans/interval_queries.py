@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annulet.functions import scalars as S
 from annulet.operators import intervals as I
 from annulet.operators.interval_sweep import chromosome
 from annulet.plans.base import fixed, fixed_sql, once, once_sql
@@ -72,9 +71,7 @@ def x20_reciprocal_pairs(spark: SparkSession, d: str) -> DataFrame:
     rows = simple_circles(spark, d).where("sample is not null")
     a = rows.select("chr", F.col("id").alias("id_a"), F.col("sample").alias("sa"), F.col("start0").alias("s1"), F.col("end0").alias("e1"))
     b = rows.select("chr", F.col("id").alias("id_b"), F.col("sample").alias("sb"), F.col("start0").alias("s2"), F.col("end0").alias("e2"))
-    same = S.reciprocal(F.col("s1"), F.col("e1"), F.col("s2"), F.col("e2")) & (F.col("id_a") < F.col("id_b")) & (F.col("sa") != F.col("sb"))
-    # Starts of such a pair differ by no more than the tolerance or a hundredth of the longer one, here at most 200.
-    return I.near_start_join(a, b, ["chr"], "s1", "s2", 1000).where(same).select("id_a", "id_b")
+    return I.reciprocal_join(a, b, ["chr"], ("s1", "e1"), ("s2", "e2")).where("id_a < id_b and sa <> sb").select("id_a", "id_b")
 
 
 def a43_best_per_component(spark: SparkSession, d: str) -> DataFrame:
