@@ -65,12 +65,13 @@ def reciprocal_join(a: DataFrame, b: DataFrame, keys: list[str], a_ends: tuple[s
     the start as wide as that class allows starts to differ; b is listed in the neighbouring cells and classes.
     """
     (a_lo, a_hi), (b_lo, b_hi) = a_ends, b_ends
+    part = min(share, 1.0)  # above 1 only the tolerance counts
     size = lambda lo, hi: F.greatest(F.col(hi) - F.col(lo), F.lit(1)).cast("double")
     level = lambda n: F.floor(F.log2(F.greatest(n, F.lit(1.0)))).cast("int")
-    width = lambda c: F.ceil(F.greatest(F.lit(float(tolerance + 1)), F.pow(F.lit(2.0), c + 1) * ((1 - share) / share + 0.01 * (1 - share)) + tolerance))
+    width = lambda c: F.ceil(F.greatest(F.lit(float(tolerance + 1)), F.pow(F.lit(2.0), c + 1) * ((1 - part) / part) + tolerance + 1))
     left = a.withColumn("_class", level(size(a_lo, a_hi))).withColumn("_cell", F.floor(F.col(a_lo) / width(F.col("_class"))))
     n = size(b_lo, b_hi)
-    right = b.withColumn("_class", F.explode(F.sequence(level((n - 2 * tolerance) * share), level((n + 2 * tolerance) / share))))
+    right = b.withColumn("_class", F.explode(F.sequence(level((n - 2 * tolerance) * part), level((n + 2 * tolerance) / part))))
     right = right.withColumn("_cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.col(b_lo) / width(F.col("_class"))) + i)))
     same = reciprocal(F.col(a_lo), F.col(a_hi), F.col(b_lo), F.col(b_hi), share, tolerance)
     return left.join(right, [*keys, "_class", "_cell"]).where(same).drop("_class", "_cell")
