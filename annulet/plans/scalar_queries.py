@@ -178,7 +178,7 @@ SQL = {
     "x12_locus_codec": f"WITH {CHIMERIC_SQL} SELECT id, seg, concat_ws('_', chr, CAST(start0 AS VARCHAR), CAST(end0 AS VARCHAR), strand) AS code, chr || ':' || (start0 + 1) || '-' || end0 || '_' || strand AS shown FROM seg",
     "x13_strands": f"SELECT rec_id, CASE WHEN trim(strand) IN ('+', '-') THEN trim(strand) END AS strand, CASE trim(strand) WHEN '+' THEN '-' WHEN '-' THEN '+' END AS opposite FROM {_E}",
     "x14_read_counts": f"SELECT rec_id, coalesce(len(list_distinct([trim(x) FOR x IN string_split(reads, ';') IF trim(x) <> ''])), 0) AS n FROM {_E}",
-    "x15_formatted": f"SELECT rec_id, format('{{:,}}', CAST(length AS BIGINT)) AS length, printf('%.2f', length / 1000.0) AS kb FROM {_E} WHERE length IS NOT NULL",
+    "x15_formatted": f"SELECT rec_id, format('{{:,}}', CAST(length AS BIGINT)) AS length, printf('%.2f', round_even(length / 10.0, 0) / 100) AS kb FROM {_E} WHERE length IS NOT NULL",
     "x16_base_ids": f"SELECT aln_id, regexp_extract(query_id, '^>?([^\\s|]*)', 1) AS base, regexp_replace(query_id || ' #1', '[^A-Za-z0-9._|:-]+', '_', 'g') AS safe FROM {_A} WHERE query_id IS NOT NULL",
     "x17_abundance": f"SELECT eccDNA_id, {fixed_sql('least(num_split_reads / 100.0, 1.0)', 4)} AS abundance, CASE WHEN copy_number > 0 THEN CAST(copy_number AS DOUBLE) ELSE 1.0 END AS copies FROM {once_sql('inferred_simple')}",
     "x18_loci_length": f"WITH {CHIMERIC_SQL} SELECT id, CAST(sum(end0 - start0) AS BIGINT) AS length FROM seg GROUP BY id",
