@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from annulet.functions.rings import least_rotation
+
 #: Codes of letters, three bits each; letters outside the alphabet share one code and are told apart later.
 _CODE = np.full(256, 5, np.uint64)
 for _i, _c in enumerate(b"ACGTN"):
@@ -34,24 +36,6 @@ def edits(n: int | np.ndarray, percent: int = 6) -> int | np.ndarray:
     return n * percent // 100
 
 
-def least_rotation(s: bytes) -> int:
-    """Where the least rotation of s starts, in linear time."""
-    n, i, j, k = len(s), 0, 1, 0
-    while i < n and j < n and k < n:
-        a, b = s[(i + k) % n], s[(j + k) % n]
-        if a == b:
-            k += 1
-            continue
-        if a > b:
-            i += k + 1
-        else:
-            j += k + 1
-        if i == j:
-            j += 1
-        k = 0
-    return min(i, j)
-
-
 def canonical(rings: list[bytes]) -> list[bytes]:
     """Every ring, none empty, turned to its least rotation."""
     if not rings:

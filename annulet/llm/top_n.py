@@ -38,8 +38,8 @@ def thresholds(rows: DataFrame, group: str, n: int, heavy: int) -> DataFrame:
 
 
 def top_n(df: DataFrame, group: str, score: str, then: list[str], key: str, n: int, heavy: int = 2048) -> DataFrame:
-    """The n first rows of each group by score descending, ``then`` descending, key ascending, with their rank."""
-    rows = df.where(F.col(group).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    """group, score, then, key and ``rank`` of the n first rows of each group by score descending, ``then`` descending, key ascending."""
+    rows = df.select(group, score, *then, key).where(F.col(group).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     rows = rows.withColumn("_bin", score_bin(F.col(score)))
     floor = F.broadcast(thresholds(rows, group, n, heavy))  # at most `heavy` rows
     rows = rows.join(floor, group, "left").where(F.col("_floor").isNull() | (F.col("_bin") >= F.col("_floor")))
