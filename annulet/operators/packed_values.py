@@ -107,11 +107,11 @@ def split_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
     # Enclosing quotes and the second of two inner quotes go; what is left is the values' own buffer.
     enclosed = quote[head]
-    item = np.cumsum(part & prev_sep) - 1
-    drop = part & quote & ~inside & enclosed[item]
-    drop[tail[enclosed]] = True
-    kept = part & ~drop
-    size = np.bincount(item[kept], minlength=head.size) if head.size else np.zeros(0, np.int64)
+    at = np.flatnonzero(part)
+    item = np.cumsum((part & prev_sep)[at]) - 1
+    drop = quote[at] & ~inside[at] & enclosed[item]
+    drop[np.searchsorted(at, tail[enclosed])] = True
+    kept, size = at[~drop], np.bincount(item[~drop], minlength=head.size)
     child = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     values = pa.LargeStringArray.from_buffers(head.size, pa.py_buffer(child.tobytes()), pa.py_buffer(data[kept].tobytes()))
     lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))]).astype(np.int64), values)

@@ -18,23 +18,23 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WHOLE = "^[0-9]+$"
-DECIMAL = r"^[0-9]+(\.[0-9]+)?$"
+WHOLE = r"^[0-9]+\z"
+DECIMAL = r"^[0-9]+(\.[0-9]+)?\z"
 
 #: The judgements a rule table may name; each takes the unquoted cell.
 CHECKS: dict[str, Callable[[Column], Column]] = {
     "whole": lambda v: v.rlike(WHOLE),
-    "whole from 1": lambda v: v.rlike("^0*[1-9][0-9]*$"),
+    "whole from 1": lambda v: v.rlike(r"^0*[1-9][0-9]*\z"),
     "decimal": lambda v: v.rlike(DECIMAL),
     "decimal above 0": lambda v: v.rlike(DECIMAL) & v.rlike("[1-9]"),
-    "decimal to 100": lambda v: v.rlike(r"^0*([0-9]{1,2}(\.[0-9]+)?|100(\.0+)?)$"),
-    "decimal to 1": lambda v: v.rlike(r"^(0+(\.[0-9]+)?|0*1(\.0+)?)$"),
-    "not blank": lambda v: v.rlike(r"\S"),
-    "three parts": lambda v: v.rlike(r"^[^/\s]+/[^/\s]+/[^/\s]+$"),
-    "whole list": lambda v: v.rlike("^[0-9]+(,[0-9]+)*$"),
-    "bases": lambda v: v.rlike("^[ACGTNacgtn]+$"),
+    "decimal to 100": lambda v: v.rlike(r"^0*([0-9]{1,2}(\.[0-9]+)?|100(\.0+)?)\z"),
+    "decimal to 1": lambda v: v.rlike(r"^(0+(\.[0-9]+)?|0*1(\.0+)?)\z"),
+    "text": lambda v: v.rlike(r"\S"),
+    "three parts": lambda v: v.rlike(r"^[^/\s]+/[^/\s]+/[^/\s]+\z"),
+    "whole list": lambda v: v.rlike(r"^[0-9]+(,[0-9]+)*\z"),
+    "bases": lambda v: v.rlike(r"^[ACGTNacgtn]+\z"),
     "regions": lambda v: v.rlike(
-        "^ *[A-Za-z0-9_.]+:0*[1-9][0-9]*-0*[1-9][0-9]* *([;,] *[A-Za-z0-9_.]+:0*[1-9][0-9]*-0*[1-9][0-9]* *)*$"
+        r"^ *[A-Za-z0-9_.]+:0*[1-9][0-9]*-0*[1-9][0-9]* *([;,] *[A-Za-z0-9_.]+:0*[1-9][0-9]*-0*[1-9][0-9]* *)*\z"
     ),
 }
 
@@ -62,7 +62,7 @@ def _rising(v: Column) -> Column:
 TANDEM = Layout(
     "tandem_raw",
     (
-        ("readName", "string", "three parts"), ("repN", "string", "not blank"), ("copyNum", "double", "decimal above 0"),
+        ("readName", "string", "three parts"), ("repN", "string", "text"), ("copyNum", "double", "decimal above 0"),
         ("readLen", "bigint", "whole"), ("start", "bigint", "whole from 1"), ("end", "bigint", "whole"),
         ("consLen", "bigint", "whole"), ("aveMatch", "double", "decimal to 100"), ("fullLen", "bigint", "whole"),
         ("subPos", "string", "whole list"), ("consSeq", "string", "bases"),
@@ -106,7 +106,7 @@ def judge(lines: DataFrame, layout: Layout) -> DataFrame:
     cut = latest_lines(lines).select("line_id", F.coalesce(F.length("raw"), F.lit(0)).alias("chars"), cells.alias("cells"))
     shape = F.when((F.col("chars") == 0) | ((F.size("cells") == 1) & (F.col("cells")[0] == "")), "empty line").when(F.size("cells") != width, "field count")
     exploded = cut.select("line_id", shape.alias("shape"), F.posexplode_outer(F.when(shape.isNull(), F.col("cells"))).alias("col", "cell"))
-    enclosed = F.col("cell").rlike('^"[^"]*"$')
+    enclosed = F.col("cell").rlike(r'^"[^"]*"\z')
     values = exploded.withColumn("value", F.when(enclosed, F.expr("substring(cell, 2, length(cell) - 2)")).otherwise(F.col("cell")))
     value = F.col("value")
     passes = F.lit(False)
