@@ -46,3 +46,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, without its lineage."""
     _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for costly work per row over input that came in few pieces."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
