@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annulet.llm import pii_kernel
-from annulet.session import cut
+from annulet.session import cut, spread
 
 ROUNDS, MOST = 4, 1_000_000
 
@@ -42,7 +42,7 @@ def observations(df: DataFrame) -> DataFrame:
                 [pa.array([r[0][i] for r in rows], pa.string()) for i in range(3)] + [pa.array([r[1] for r in rows], pa.int64())], ["kind", "a", "b", "n"]
             )
 
-    rows = df.where("text is not null").select("text").mapInArrow(run, "kind string, a string, b string, n bigint")
+    rows = spread(df.where("text is not null").select("text")).mapInArrow(run, "kind string, a string, b string, n bigint")
     return rows.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -107,7 +107,7 @@ def find(df: DataFrame, model: pii_kernel.Model) -> DataFrame:
             columns = [pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "start_pos", "end_pos"])
 
-    rows = df.where("text is not null").select(F.col("doc_id").cast("bigint"), "text")
+    rows = spread(df.where("text is not null").select(F.col("doc_id").cast("bigint"), "text"))
     return rows.mapInArrow(run, "doc_id bigint, kind string, start_pos int, end_pos int")
 
 
@@ -127,4 +127,4 @@ def redact(df: DataFrame, model: pii_kernel.Model) -> DataFrame:
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return df.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, text string")
+    return spread(df.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(run, "doc_id bigint, text string")

@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annulet.session import spread
+
 TOKENIZERS = os.environ.get("ANNULET_TOKENIZERS", "/opt/tokenizers")
 
 # Fixed value: how this family of tokenizers cuts a text into pieces.
@@ -147,4 +149,4 @@ def encode(df: DataFrame, key: str, text: str, name: str = "byte_bpe_50k", folde
 
     kind = df.select(key).schema[0].dataType.simpleString()
     out = f"`{key}` {kind}, " + ("n_tokens bigint" if count_only else "ids array<int>")
-    return df.select(key, F.col(text)).mapInArrow(run, out)
+    return spread(df.select(key, F.col(text))).mapInArrow(run, out)
