@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from annulet.functions import scalars as S
 from annulet.operators.intervals import islands
+from annulet.session import cut
 
 
 @dataclass(frozen=True)
@@ -197,12 +198,15 @@ def decide(all_rows: DataFrame, loci_df: DataFrame, style, rules: Rules = Rules(
 
 
 def classify(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """All of it, from raw alignments: the decision for every query that has alignments of good size."""
+    """All of it, from raw alignments: the decision for every query that has alignments of good size.
+
+    The table of loci, one narrow row each, is written once, as four aggregates read it.
+    """
     rows = prepared(df)
     hq = rows.where(F.col("gap_percentage") <= rules.gap_percent)
     style = zero_based(hq)
-    located = with_loci(hq, rules)
-    return decide(rows, loci(located, style), style, rules)
+    located = with_loci(hq.select("aln_id", "query_id", "chr", "strand", "start0", "end0", "q_start", "q_end", "size", "mapq", "identity", "alignment_length"), rules)
+    return decide(rows, cut(loci(cut(located), style)), style, rules)
 
 
 def unclassified(df: DataFrame, decided: DataFrame) -> DataFrame:
