@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from annulet.llm import source_mix as M
 
 DOCS = "doc_id bigint, text string, source string, rate double, copy int"
@@ -21,7 +23,7 @@ def test_shares_and_caps(spark):
     by = {r["source"]: r for r in rates.collect()}
     assert by["small"]["rate"] == 4.0 and abs(by["big"]["rate"] - 0.6) < 1e-9 and by["nobody"]["rate"] == 0.0
     mixed = M.mix(sizes, rates)
-    copies = {r["source"]: (r["n"], r["m"]) for r in mixed.groupBy("source").agg({"doc_id": "count", "copy": "max"}).toDF("source", "n", "m").collect()}
+    copies = {r["source"]: (r["n"], r["m"]) for r in mixed.groupBy("source").agg(F.count("doc_id").alias("n"), F.max("copy").alias("m")).collect()}
     assert copies["small"] == (61 * 4, 4) and copies["big"][1] == 1 and 300 < copies["big"][0] < 420
     again = sorted(map(tuple, mixed.collect()))
     assert again == sorted(map(tuple, M.mix(sizes.repartition(7), rates).collect()))
