@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annulet.functions import scalars as S
@@ -70,10 +70,10 @@ def identity_passes(identity, length, least: float = 99.0, decay: float = 0.5, f
     return identity >= F.greatest(F.lit(least) - length / 10000.0 * decay, F.lit(floor))
 
 
-def zero_based(hq: DataFrame):  # noqa: ANN201
-    """One value for the table: whether query ends look half-open from 0 rather than closed from 1."""
+def zero_based(hq: DataFrame) -> Column:
+    """One value for the table, worked out at once: whether query ends look half-open from 0 rather than closed from 1."""
     off = lambda n: F.median(F.abs(F.abs(F.col("q_end") - F.col("q_start") + n) - F.col("alignment_length")))
-    return hq.agg(F.coalesce(off(0) + 1e-6 < off(1), F.lit(False))).scalar()
+    return F.lit(hq.agg(F.coalesce(off(0) + 1e-6 < off(1), F.lit(False))).first()[0])
 
 
 def linked(starts: np.ndarray, ends: np.ndarray, pos_tol: int, theta: float) -> np.ndarray:
@@ -200,12 +200,12 @@ def decide(all_rows: DataFrame, loci_df: DataFrame, style, rules: Rules = Rules(
 def classify(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """All of it, from raw alignments: the decision for every query that has alignments of good size.
 
-    The table of loci, one narrow row each, is written once, as four aggregates read it.
+    What several steps read is written once: the prepared columns, the located alignments and the table of loci.
     """
-    rows = prepared(df)
+    rows = cut(prepared(df).select("aln_id", "query_id", "chr", "strand", "start0", "end0", "q_start", "q_end", "size", "mapq", "identity", "alignment_length", "gap_percentage"))
     hq = rows.where(F.col("gap_percentage") <= rules.gap_percent)
     style = zero_based(hq)
-    located = with_loci(hq.select("aln_id", "query_id", "chr", "strand", "start0", "end0", "q_start", "q_end", "size", "mapq", "identity", "alignment_length"), rules)
+    located = with_loci(hq.drop("gap_percentage"), rules)
     return decide(rows, cut(loci(cut(located), style)), style, rules)
 
 
