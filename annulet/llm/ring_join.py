@@ -29,6 +29,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ from annulet.operators.interval_sweep import chromosome
 from annulet.session import cut
 
 LETTERS_PER_PART = 6_000_000
+ALL_PARTS = 64  # up to so many parts of a band, a ring is simply sent to all of them
+MOST_TASKS = 20_000
 
 
 def _turned(df: DataFrame) -> DataFrame:
@@ -75,19 +78,29 @@ def class_pairs(df: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     spark = df.sparkSession
     sizes = df.select(F.length("seq").alias("n")).where("n > 0")
     # One row per band: their number grows with the logarithm of the longest ring.
-    bands = sizes.groupBy(band(F.col("n"), percent).alias("band")).agg(F.sum("n").alias("letters")).collect()
-    letters = {r["band"]: r["letters"] for r in bands}
-    parts = {b: math.ceil((n + letters.get(b - 1, 0)) / LETTERS_PER_PART) for b, n in letters.items()}
-    plan = F.broadcast(spark.createDataFrame([(b, p) for b, p in parts.items()] or [(-1, 1)], "band int, parts int"))
+    by_band = sizes.groupBy(band(F.col("n"), percent).alias("band")).agg(F.sum("n").alias("letters"), F.min("n").alias("lo"), F.max("n").alias("hi")).collect()
+    letters = {r["band"]: r["letters"] for r in by_band}
+    rows = [(r["band"], math.ceil((r["letters"] + letters.get(r["band"] - 1, 0)) / LETTERS_PER_PART), ring_kernel.piece_length(r["lo"], r["hi"], percent)) for r in by_band]
+    plan = F.broadcast(spark.createDataFrame(rows or [(-1, 1, 1)], "band int, parts int, q int"))
     own = reps.withColumn("b", band(F.col("n"), percent))
     placed = own.select("cls", "n", "ring", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("band"), F.col("b")).join(plan, "band")
-    placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tasks = max(spark.sparkContext.defaultParallelism * 4, sum(parts.values()))
+    where = F.sequence(F.lit(0), F.col("parts") - 1)
+    if any(p > ALL_PARTS for _, p, _ in rows):
+        # A ring goes only to parts where it has a window: no more copies than it has letters, however large the band.
+        @F.pandas_udf("array<int>")
+        def held(ring: pd.Series, n: pd.Series, q: pd.Series, parts: pd.Series) -> pd.Series:
+            some = zip(ring, n, q, parts)
+            return pd.Series([ring_kernel.parts_of(ring_kernel.unpack(r, k), x, p) if p > ALL_PARTS and x else np.arange(p, dtype=np.int32) for r, k, x, p in some])
+
+        where = held("ring", "n", "q", "parts")
+    placed = placed.withColumn("part", F.explode(where))
+    tasks = max(spark.sparkContext.defaultParallelism * 4, min(sum(p for _, p, _ in rows), MOST_TASKS))
 
     def run(table: pa.Table) -> pa.Table:
         rings = [ring_kernel.unpack(p, n) for p, n in zip(table["ring"].to_pylist(), table["n"].to_pylist())]
         mine = table["b"].to_numpy() == table["band"].to_numpy()
-        pairs = ring_kernel.close_pairs(rings, mine, table["part"][0].as_py(), table["parts"][0].as_py(), percent)
+        part, parts, q = (table[c][0].as_py() for c in ("part", "parts", "q"))
+        pairs = ring_kernel.close_pairs(rings, mine, part, parts, percent, q)
         ids = table["cls"].to_numpy()
         return pa.table({"cls_a": ids[pairs[:, 0]], "cls_b": ids[pairs[:, 1]]})
 

@@ -91,7 +91,12 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
     return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
 
 
-def anchors(rings: list[bytes], own: np.ndarray, part: int, parts: int, percent: int = 6) -> Iterator[tuple[np.ndarray, ...]]:
+def parts_of(ring: bytes, q: int, parts: int) -> np.ndarray:
+    """The parts in which a ring has a window, so the only ones where it can share a piece."""
+    return np.unique(_mixed(_windows([ring], q)[0]) % np.uint64(parts)).astype(np.int32)
+
+
+def anchors(rings: list[bytes], own: np.ndarray, part: int, parts: int, percent: int = 6, q: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
     """Chunks of (a, place in a, b, place in b): equal pieces of rings a and b, b one of ``own`` and the longer.
 
     Ring b is cut into one piece more than a pair may have edits, so one piece is whole in a. Of all pieces, those
@@ -101,7 +106,7 @@ def anchors(rings: list[bytes], own: np.ndarray, part: int, parts: int, percent:
     mine = np.flatnonzero(own)
     if not mine.size:
         return
-    q = piece_length(int(sizes[mine].min()), int(sizes[mine].max()), percent)
+    q = piece_length(int(sizes[mine].min()), int(sizes[mine].max()), percent) if q is None else q
     if q == 0:
         return
     codes, ring, place = _windows(rings, q)
@@ -179,14 +184,17 @@ def within(a: list[bytes], b: list[bytes], most: np.ndarray) -> np.ndarray:
     return good | ((na == 0) & (nb <= most))
 
 
-def close_pairs(rings: list[bytes], own: np.ndarray, part: int = 0, parts: int = 1, percent: int = 6) -> np.ndarray:
-    """Index pairs (a, b), b one of ``own`` and the longer, that a rotation and at most ``percent`` % edits make equal."""
+def close_pairs(rings: list[bytes], own: np.ndarray, part: int = 0, parts: int = 1, percent: int = 6, q: int | None = None) -> np.ndarray:
+    """Index pairs (a, b), b one of ``own`` and the longer, that a rotation and at most ``percent`` % edits make equal.
+
+    ``q`` is the length of pieces, which all parts must share; without one it follows from the rings given.
+    """
     if len(rings) < 2:
         return np.zeros((0, 2), np.int64)
     sizes = np.array([len(s) for s in rings])
     shingles = profiles(rings)
     found: list[np.ndarray] = []
-    for a, a_at, b, b_at in anchors(rings, own, part, parts, percent):
+    for a, a_at, b, b_at in anchors(rings, own, part, parts, percent, q):
         pair = a * np.int64(len(rings)) + b
         order = np.argsort(pair, kind="stable")
         pair, a, a_at, b, b_at = pair[order], a[order], a_at[order], b[order], b_at[order]

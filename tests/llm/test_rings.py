@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from annulet.llm import ring_join, ring_kernel as K
 
@@ -60,8 +61,10 @@ def test_packing_keeps_rings():
             assert K.unpack(K.pack(s), n) == s
 
 
-def test_ring_pairs_of_a_table(spark, monkeypatch):
-    monkeypatch.setattr(ring_join, "LETTERS_PER_PART", 400)
+@pytest.mark.parametrize("letters, all_parts", [(10**6, 64), (400, 64), (100, 2)])
+def test_ring_pairs_of_a_table(spark, monkeypatch, letters, all_parts):
+    monkeypatch.setattr(ring_join, "LETTERS_PER_PART", letters)
+    monkeypatch.setattr(ring_join, "ALL_PARTS", all_parts)
     rnd = random.Random(2)
     seqs = [s for _ in range(12) for s in family(rnd)] + ["acgtacgtaacc", "ACGTAACCACGT", None, "", "ÄCGT", "A" * 3000, "A" * 3000]
     rows = [(i, s, i, "x") for i, s in enumerate(seqs)]
