@@ -150,14 +150,17 @@ def circle_pairs(df: DataFrame, reach: int = 20, cell: int = 256) -> DataFrame:
     window = lambda s: F.array_distinct(F.array(at(s["start0"] - reach), at(s["start0"] + reach)))
     key = lambda s, t: F.xxhash64(s["chr"], s["strand"], t["chr"], t["strand"])
     probe = reps.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("segs")[0].alias("s"), F.get("segs", 1 % F.col("n")).alias("t"))
-    probe = probe.select("a", "na", F.col("s").alias("pa"), F.col("t").alias("pt"), key(F.col("s"), F.col("t")).alias("k"), at(F.col("s.start0")).alias("c1"), at(F.col("t.start0")).alias("c2"))
+    ends = lambda s, name: [s["start0"].alias(f"{name}0"), s["end0"].alias(f"{name}1")]
+    probe = probe.select("a", "na", *ends(F.col("s"), "pa"), *ends(F.col("t"), "pt"), key(F.col("s"), F.col("t")).alias("k"), at(F.col("s.start0")).alias("c1"), at(F.col("t.start0")).alias("c2"))
     steps = F.flatten(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.array(F.struct(i.alias("i"), ((i + 1) % F.col("n")).alias("j")), F.struct(i.alias("i"), ((i + 2) % F.col("n")).alias("j")))))
     base = reps.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "segs", F.explode(F.array_distinct(steps)).alias("x"))
     base = base.select("b", "nb", F.get("segs", F.col("x.i")).alias("bs"), F.get("segs", F.col("x.j")).alias("bt"))
-    base = base.select("b", "nb", "bs", "bt", key(F.col("bs"), F.col("bt")).alias("k"), F.explode(window(F.col("bs"))).alias("c1"))
-    base = base.select("b", "nb", "bs", "bt", "k", "c1", F.explode(window(F.col("bt"))).alias("c2"))
+    # Chromosomes and strands travel as a hash; the comparison of all segments settles them.
+    base = base.select("b", "nb", *ends(F.col("bs"), "bs"), "bt", key(F.col("bs"), F.col("bt")).alias("k"), F.explode(window(F.col("bs"))).alias("c1"))
+    base = base.select("b", "nb", "bs0", "bs1", *ends(F.col("bt"), "bt"), "k", "c1", F.explode(window(F.col("bt"))).alias("c2"))
     near = lambda x, y: f"abs({x}.start0 - {y}.start0) <= {reach} and abs({x}.end0 - {y}.end0) <= {reach} and {x}.chr = {y}.chr and {x}.strand = {y}.strand"
-    maybe = probe.join(base, ["k", "c1", "c2"]).where(f"a <> b and nb - na between 0 and 1 and {near('pa', 'bs')} and {near('pt', 'bt')}")
+    both_ends = " and ".join(f"abs({x}{i} - {y}{i}) <= {reach}" for x, y in (("pa", "bs"), ("pt", "bt")) for i in (0, 1))
+    maybe = probe.join(base, ["k", "c1", "c2"]).where(f"a <> b and nb - na between 0 and 1 and {both_ends}")
     maybe = maybe.select("a", "b").distinct()
     both = maybe.join(reps.select(F.col("cls").alias("a"), F.col("segs").alias("sa")), "a").join(reps.select(F.col("cls").alias("b"), F.col("segs").alias("sb")), "b")
     same = f"forall(sequence(0, size(sa) - 1), i -> exists(array(named_struct('x', get(sa, (o + i) % size(sa)), 'y', get(sb, (t + i) % size(sb)))), p -> {near('p.x', 'p.y')}))"
