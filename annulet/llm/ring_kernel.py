@@ -82,9 +82,10 @@ def _windows(rings: list[bytes], q: int) -> tuple[np.ndarray, np.ndarray, np.nda
             have *= 2
     sizes = np.array([len(s) for s in rings])
     starts = np.concatenate([[0], np.cumsum(sizes + q - 1)])[:-1]
-    ring = np.repeat(np.arange(len(rings)), sizes)
-    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return out[starts[ring] + place], ring, place
+    ring = np.repeat(np.arange(len(rings), dtype=np.int32), sizes)
+    valid = np.arange(sizes.sum()) + ring * np.int64(q - 1)
+    place = (valid - np.repeat(starts, sizes)).astype(np.int32)
+    return out[valid], ring, place
 
 
 def _mixed(codes: np.ndarray) -> np.ndarray:
@@ -149,6 +150,15 @@ def profiles(rings: list[bytes], q: int = 4) -> np.ndarray:
     return np.bincount(ring * 256 + column, minlength=256 * len(rings)).reshape(-1, 256).astype(np.int32)
 
 
+def _shared(rings: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many shingles the rings of each pair have in common, counted as often as both have them."""
+    if not a.size:
+        return np.zeros(0, np.int64)
+    named, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    counts = profiles([rings[i] for i in named])
+    return np.minimum(counts[at[: a.size]], counts[at[a.size :]]).sum(axis=1)
+
+
 def within(a: list[bytes], b: list[bytes], most: np.ndarray) -> np.ndarray:
     """For each i whether a[i] becomes b[i], which is not shorter, by at most most[i] edits; columns of a banded table, side by side."""
     na, nb = np.array([len(s) for s in a]), np.array([len(s) for s in b])
@@ -192,7 +202,6 @@ def close_pairs(rings: list[bytes], own: np.ndarray, part: int = 0, parts: int =
     if len(rings) < 2:
         return np.zeros((0, 2), np.int64)
     sizes = np.array([len(s) for s in rings])
-    shingles = profiles(rings)
     found: list[np.ndarray] = []
     for a, a_at, b, b_at in anchors(rings, own, part, parts, percent, q):
         pair = a * np.int64(len(rings)) + b
@@ -201,7 +210,7 @@ def close_pairs(rings: list[bytes], own: np.ndarray, part: int = 0, parts: int =
         heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if pair.size else np.zeros(0, np.int64)
         tails = np.append(heads[1:], pair.size)
         # An edit touches at most four shingles of four letters: a bound on the Jaccard distance of the multisets.
-        shared = np.concatenate([np.minimum(shingles[a[h]], shingles[b[h]]).sum(axis=1) for h in np.array_split(heads, heads.size // 4096 + 1)])
+        shared = np.concatenate([_shared(rings, a[h], b[h]) for h in np.array_split(heads, heads.size // 4096 + 1)])
         near = shared >= sizes[b[heads]] - 4 * edits(sizes[b[heads]], percent)
         heads, tails = heads[near], tails[near]
         order = np.argsort(sizes[b[heads]], kind="stable")
