@@ -12,29 +12,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annulet.functions.scalars import reciprocal
+from annulet.operators.interval_sweep import depth, sweep  # noqa: F401
 
 
 def islands(df: DataFrame, keys: list[str], lo: str, hi: str, order: list[str], slack: int = 0, name: str = "island") -> DataFrame:
-    """A number per island: a row opens a new one if its start is more than ``slack`` after every end before it."""
+    """A number per island: a row opens a new one if its start is more than ``slack`` after every end before it.
+
+    For keys with few rows, such as a query or a read; for whole chromosomes use ``merge``.
+    """
     w = Window.partitionBy(*keys).orderBy(lo, *order)
     before = F.max(hi).over(w.rowsBetween(Window.unboundedPreceding, -1))
     opened = df.withColumn("_open", F.when(before.isNull() | (F.col(lo) > before + slack), 1).otherwise(0))
     return opened.withColumn(name, F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_open")
 
 
-def merge(df: DataFrame, keys: list[str], lo: str, hi: str, order: list[str], slack: int = 0) -> DataFrame:
-    """keys, lo, hi, members of merged intervals."""
-    grouped = islands(df, keys, lo, hi, order, slack).groupBy(*keys, "island")
-    return grouped.agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count("*").alias("members")).drop("island")
+def merge(df: DataFrame, keys: list[str], lo: str, hi: str, slack: int = 0) -> DataFrame:
+    """keys, lo, hi, members of intervals that overlap, touch or lie no more than ``slack`` apart; empty intervals are left out.
 
-
-def depth(df: DataFrame, keys: list[str], lo: str, hi: str) -> DataFrame:
-    """keys, lo, hi, depth: stretches of equal depth above 0, as long as can be."""
-    ends = df.where(F.col(lo) < F.col(hi)).select(*keys, F.explode(F.array(F.struct(F.col(lo).alias("p"), F.lit(1).alias("d")), F.struct(F.col(hi).alias("p"), F.lit(-1).alias("d")))).alias("e"))
-    steps = ends.groupBy(*keys, F.col("e.p").alias("p")).agg(F.sum("e.d").alias("d")).where("d <> 0")
-    w = Window.partitionBy(*keys).orderBy("p")
-    runs = steps.withColumn("depth", F.sum("d").over(w)).withColumn("to", F.lead("p").over(w))
-    return runs.where((F.col("depth") > 0) & F.col("to").isNotNull()).select(*keys, F.col("p").alias(lo), F.col("to").alias(hi), "depth")
+    Stretches come from the tiled sweep over intervals longer by the slack, members from joining starts to stretches,
+    so no task holds all intervals of a key.
+    """
+    rows = df.where(F.col(lo) < F.col(hi)).select(*keys, F.col(lo).alias("_m0"), (F.col(hi) + slack).alias("_m1"))
+    found = sweep(rows, keys, "_m0", "_m1").where("kind = 'covered'").select(*keys, F.col("start0").alias(lo), F.col("end0").alias(hi))
+    starts = rows.select(*keys, F.col("_m0").alias("_p0"), (F.col("_m0") + 1).alias("_p1"))
+    counted = overlap_join(found, starts, keys, (lo, hi), ("_p0", "_p1"), tile=1 << 18).groupBy(*keys, lo, hi).agg(F.count("*").alias("members"))
+    return counted.withColumn(hi, F.col(hi) - slack)
 
 
 def _tiled(df: DataFrame, lo: str, hi: str, tile: int, name: str) -> DataFrame:

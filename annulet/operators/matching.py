@@ -72,7 +72,7 @@ def coverage_candidates(preds: DataFrame, truths: DataFrame, keys: list[str], th
 
 def union_segments(df: DataFrame, keys: list[str]) -> DataFrame:
     """Each molecule's segments without overlaps, so that lengths add up."""
-    return I.merge(df, ["id", *keys], "start0", "end0", ["end0"]).drop("members")
+    return I.merge(df, ["id", *keys], "start0", "end0").drop("members")
 
 
 def measures(tp: Column, predictions: Column, truths: Column) -> dict[str, Column]:

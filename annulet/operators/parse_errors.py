@@ -29,8 +29,8 @@ CHECKS: dict[str, Callable[[Column], Column]] = {
     "decimal above 0": lambda v: v.rlike(DECIMAL) & v.rlike("[1-9]"),
     "decimal to 100": lambda v: v.rlike(r"^0*([0-9]{1,2}(\.[0-9]+)?|100(\.0+)?)\z"),
     "decimal to 1": lambda v: v.rlike(r"^(0+(\.[0-9]+)?|0*1(\.0+)?)\z"),
-    "text": lambda v: v.rlike(r"\S"),
-    "three parts": lambda v: v.rlike(r"^[^/\s]+/[^/\s]+/[^/\s]+\z"),
+    "text": lambda v: v.rlike(r"(?U)\S"),
+    "three parts": lambda v: v.rlike(r"(?U)^[^/\s]+/[^/\s]+/[^/\s]+\z"),
     "whole list": lambda v: v.rlike(r"^[0-9]+(,[0-9]+)*\z"),
     "bases": lambda v: v.rlike(r"^[ACGTNacgtn]+\z"),
     "regions": lambda v: v.rlike(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from annulet.functions import read_trim as R
 from annulet.operators import intervals as I
 from annulet.operators.graph import components
+from annulet.session import cut
 
 HIT = ["q_start", "q_end", "ref", "r_start", "r_end", "match", "block", "mapq", "strand"]
 _OUT = "array<struct<q_start:bigint,q_end:bigint,ref:string,r_start:bigint,r_end:bigint,match:bigint,block:bigint,mapq:int,strand:int,trimmed:bigint,freq:string,ord:int,ctc:boolean>>"
@@ -37,7 +38,7 @@ def trim(hits: DataFrame, gap: int = 10, overlap: int = 10, distance: int = 1000
 def regions(rows: DataFrame, min_depth: float, min_size: int) -> DataFrame:
     """mergeid, ref, lo, hi, depth of merged regions: the part with enough depth, if it is long enough and deep on average."""
     depth = I.depth(rows.select("ref", "r_start", "r_end"), ["ref"], "r_start", "r_end").where(F.col("depth") >= min_depth)
-    spans = I.merge(rows.select("ref", F.col("r_start").alias("m0"), F.col("r_end").alias("m1")), ["ref"], "m0", "m1", ["m1"]).drop("members")
+    spans = I.merge(rows.select("ref", F.col("r_start").alias("m0"), F.col("r_end").alias("m1")), ["ref"], "m0", "m1").drop("members")
     deep = I.overlap_join(depth, spans, ["ref"], ("r_start", "r_end"), ("m0", "m1"))
     out = deep.groupBy("ref", "m0", "m1").agg(F.min("r_start").alias("lo"), F.max("r_end").alias("hi"), F.avg("depth").alias("depth"))
     out = out.where((F.col("depth") >= min_depth) & (F.col("hi") - F.col("lo") >= min_size))
@@ -71,8 +72,6 @@ def breakpoint_edges(pairs: DataFrame, support: int) -> DataFrame:
 
 def circles(hits: DataFrame, min_depth: float = 5.0, min_size: int = 200, support: int = 3) -> DataFrame:
     """id, merge_region, merge_len, num_region, ctc, numreads, totalbase, coverage of every component of the breakpoint graph."""
-    from annulet.session import cut
-
     kept = cut(trim(hits))
     found = cut(regions(kept, min_depth, min_size))
     pairs = cut(annotated(kept, found))

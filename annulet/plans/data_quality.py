@@ -37,7 +37,7 @@ def p1_overview_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "inferred_simple").where(r"sample rlike '\\S'")
+    df = table(spark, d, "inferred_simple").where(r"sample rlike '(?U)\\S'")
     return interval_sweep.sweep(df.select("sample", interval_sweep.chromosome(F.col("chr")).alias("chr"), "start0", "end0"), ["sample", "chr"], "start0", "end0")
 
 
@@ -59,7 +59,7 @@ FROM (SELECT line_id, arg_max(raw, loaded_at) AS raw FROM {t} GROUP BY line_id)
 """
 _N = lambda x: f"TRY_CAST({x} AS HUGEINT)"
 _TANDEM_OK = rf"""
-len(f) = 11 AND regexp_full_match(f[1], '[^/\s"]+/[^/\s"]+/[^/\s"]+') AND regexp_matches(f[2], '\S') AND NOT contains(f[2], '"')
+len(f) = 11 AND regexp_full_match(f[1], '[^/\s\pZ"]+/[^/\s\pZ"]+/[^/\s\pZ"]+') AND regexp_matches(f[2], '[^\s\pZ]') AND NOT contains(f[2], '"')
 AND regexp_full_match(f[3], '[0-9]+(\.[0-9]+)?') AND TRY_CAST(f[3] AS DOUBLE) > 0
 AND regexp_full_match(f[4], '[0-9]+') AND regexp_full_match(f[5], '[0-9]+') AND regexp_full_match(f[6], '[0-9]+')
 AND regexp_full_match(f[7], '[0-9]+') AND regexp_full_match(f[9], '[0-9]+')

@@ -27,12 +27,12 @@ SIMPLE_SQL = f"""iv AS (SELECT CAST(regexp_extract(eccDNA_id, '([0-9]+)$', 1) AS
 
 
 def a29_interval_merge(spark: SparkSession, d: str) -> DataFrame:
-    return I.merge(simple_circles(spark, d).select("id", "chr", "start0", "end0"), ["chr"], "start0", "end0", ["end0", "id"])
+    return I.merge(simple_circles(spark, d).select("id", "chr", "start0", "end0"), ["chr"], "start0", "end0")
 
 
 def w10_merge_within_500(spark: SparkSession, d: str) -> DataFrame:
     rows = simple_circles(spark, d).where("sample is not null").select("id", "sample", "chr", "start0", "end0")
-    return I.merge(rows, ["sample", "chr"], "start0", "end0", ["end0", "id"], slack=500)
+    return I.merge(rows, ["sample", "chr"], "start0", "end0", slack=500)
 
 
 def a28_depth(spark: SparkSession, d: str) -> DataFrame:
@@ -44,10 +44,14 @@ def f9_depth_and_size(spark: SparkSession, d: str) -> DataFrame:
     return depth.where("depth >= 2 and end0 - start0 >= 200")
 
 
+def _regions(rows: DataFrame) -> DataFrame:
+    return I.merge(rows, ["sample", "chr"], "start0", "end0").select("sample", "chr", F.col("start0").alias("lo"), F.col("end0").alias("hi"))
+
+
 def a30_region_summary(spark: SparkSession, d: str) -> DataFrame:
     """Merged regions with the mean depth of their stretches of depth 2 or more."""
     rows = simple_circles(spark, d).where("sample is not null").select("id", "sample", "chr", "start0", "end0")
-    regions = I.islands(rows, ["sample", "chr"], "start0", "end0", ["end0", "id"]).groupBy("sample", "chr", "island").agg(F.min("start0").alias("lo"), F.max("end0").alias("hi"))
+    regions = _regions(rows)
     deep = I.depth(rows, ["sample", "chr"], "start0", "end0").where("depth >= 2")
     hits = I.overlap_join(deep, regions, ["sample", "chr"], ("start0", "end0"), ("lo", "hi"))
     return hits.groupBy("sample", "chr", "lo", "hi").agg(F.min("start0").alias("bg_start"), F.max("end0").alias("bg_end"), fixed(F.avg("depth"), 3).alias("mean_depth"))
@@ -55,7 +59,7 @@ def a30_region_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def j18_region_by_depth(spark: SparkSession, d: str) -> DataFrame:
     rows = simple_circles(spark, d).where("sample is not null").select("id", "sample", "chr", "start0", "end0")
-    regions = I.islands(rows, ["sample", "chr"], "start0", "end0", ["end0", "id"]).groupBy("sample", "chr", "island").agg(F.min("start0").alias("lo"), F.max("end0").alias("hi")).drop("island")
+    regions = _regions(rows)
     return I.overlap_join(I.depth(rows, ["sample", "chr"], "start0", "end0"), regions, ["sample", "chr"], ("start0", "end0"), ("lo", "hi"))
 
 
@@ -76,8 +80,11 @@ def x20_reciprocal_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def a43_best_per_component(spark: SparkSession, d: str) -> DataFrame:
     """Closed overlap components per chromosome, each represented by the member with most split reads."""
-    rows = I.islands(simple_circles(spark, d), ["chr"], "start0", "end0", ["end0", "id"])
-    return rows.groupBy("chr", "island").agg(F.max(F.struct("num_split_reads", (-F.col("id")).alias("m"))).alias("b")).select("chr", (-F.col("b.m")).alias("id"))
+    rows = simple_circles(spark, d).select("chr", "id", "start0", "end0", "num_split_reads")
+    parts = I.merge(rows, ["chr"], "start0", "end0").select("chr", F.col("start0").alias("lo"), F.col("end0").alias("hi"))
+    points = rows.select("chr", "id", "num_split_reads", F.col("start0").alias("p0"), (F.col("start0") + 1).alias("p1"))
+    best = I.overlap_join(parts, points, ["chr"], ("lo", "hi"), ("p0", "p1"), tile=1 << 18).groupBy("chr", "lo").agg(F.max(F.struct("num_split_reads", (-F.col("id")).alias("m"))).alias("b"))
+    return best.select("chr", (-F.col("b.m")).alias("id"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -24,7 +24,7 @@ def test_tandem_lines(spark):
     cases = [
         (line(), None), (line() + "\r", None), (line(readName='"m1/2/ccs"', consSeq='"acgt"'), None), (line(repN=" r "), None), (line(aveMatch="100.000"), None), (line(start="05", subPos="005,20"), None),
         (line(copyNum="0" * 400 + "1"), None), (None, "empty line"), ("", "empty line"), ("\r", "empty line"), ("\t" * 10, "readName: not three parts"), (line() + "\t", "field count"), ("x", "field count"),
-        (line() + "\r\r", "consSeq: not bases"), (line(readName="m1/ /ccs"), "readName: not three parts"), (line(readName="m1//ccs"), "readName: not three parts"), (line(repN=" "), "repN: not text"),
+        (line() + "\r\r", "consSeq: not bases"), (line(readName="m1/ /ccs"), "readName: not three parts"), (line(readName="m1//ccs"), "readName: not three parts"), (line(readName="m1/\u00a02/ccs"), "readName: not three parts"), (line(repN="\u2003"), "repN: not text"), (line(repN=" "), "repN: not text"),
         (line(copyNum="0.0"), "copyNum: not decimal above 0"), (line(copyNum="1."), "copyNum: not decimal above 0"), (line(copyNum="+1"), "copyNum: not decimal above 0"), (line(aveMatch="100.01"), "aveMatch: not decimal to 100"),
         (line(start="0", subPos="0,20"), "start: not whole from 1"), (line(start="91"), "start after end"), (line(end="101"), "end after readLen"), (line(subPos="5,20,20"), "subPos not rising"),
         (line(subPos="6,20"), "subPos not from start"), (line(subPos="5,91"), "subPos after end"), (line(subPos="5,,20"), "subPos: not whole list"), (line(consLen="5"), "consLen is not the length"),
@@ -34,7 +34,7 @@ def test_tandem_lines(spark):
     bad, clean = verdicts(spark, [c for c, _ in cases], P.TANDEM)
     for i, (text, why) in enumerate(cases):
         assert (i in clean) if why is None else (why in bad[i]), (text, bad.get(i))
-    assert clean[0]["copyNum"] == 2.5 and clean[2]["consSeq"] == "acgt" and clean[34]["end"] is None
+    assert clean[0]["copyNum"] == 2.5 and clean[2]["consSeq"] == "acgt" and clean[36]["end"] is None
 
 
 def test_overview_lines(spark):
