@@ -30,6 +30,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return tandem.select(F.lit("tandem").alias("src"), "*").unionByName(circles.select(F.lit("inferred_chimeric").alias("src"), "*"))
 
 
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    tandem = ring_join.ring_groups(table(spark, d, "tandem").select(F.col("rec_id").alias("id"), F.col("consSeq").alias("seq")))
+    circles = ring_join.circle_groups(table(spark, d, "inferred_chimeric"))
+    return tandem.select(F.lit("tandem").alias("src"), "*").unionByName(circles.select(F.lit("inferred_chimeric").alias("src"), "*"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     hits = top_n.latest(table(spark, d, "alignments"), "aln_id", "loaded_at", ["query_id", "bit_score", "identity"])
     return top_n.top_n(hits, "query_id", "bit_score", ["identity"], "aln_id", 3).select("query_id", "aln_id")
@@ -64,7 +70,7 @@ def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(docs, pii.learn(docs, table(spark, d, "person_words")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 _MISSING = ", ".join(f"'{x}'" for x in best_record.MISSING)
 _T = lambda c: f"({c} IS NOT NULL AND lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')) NOT IN ({_MISSING}))"

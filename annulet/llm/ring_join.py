@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annulet.llm import ring_kernel
+from annulet.operators.graph import components
 from annulet.operators.interval_sweep import chromosome
 from annulet.session import cut
 
@@ -122,12 +123,35 @@ def all_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(inside)
 
 
+def groups(reps: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """id, class_id, links, group_id: one row for each row of the join, whatever the number of its partners.
+
+    Rows of one class are equal; ``links`` counts the partners of a row, without listing pairs of copies; a group is
+    what pairs connect, named after its smallest id.
+    """
+    pairs = cut(pairs.select(F.least("cls_a", "cls_b").alias("src"), F.greatest("cls_a", "cls_b").alias("dst")).distinct())
+    sizes = members.groupBy("cls").agg(F.count("*").alias("size"))
+    table = reps.select("cls").join(sizes, "cls", "left").select("cls", F.coalesce("size", F.lit(1)).alias("size"))
+    ways = pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    near = ways.join(table.select(F.col("cls").alias("dst"), "size"), "dst").groupBy(F.col("src").alias("cls")).agg(F.sum("size").alias("n"))
+    placed = components(table.select(F.col("cls").alias("node")), pairs).select(F.col("node").alias("cls"), F.col("component").alias("group_id"))
+    facts = table.join(near, "cls", "left").join(placed, "cls").select("cls", "group_id", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("links"))
+    ids = reps.select(F.col("cls").alias("id"), "cls").unionByName(members.where("id <> cls"))
+    return ids.join(facts, "cls").select("id", F.col("cls").alias("class_id"), "links", "group_id")
+
+
 def ring_pairs(df: DataFrame, percent: int = 6) -> DataFrame:
     """id_a < id_b of rows (id, seq) whose rings a rotation and at most ``percent`` % edits make equal."""
     reps, members = classes(df)
     return all_pairs(class_pairs(df, reps, percent).distinct(), members)
 
 
+def ring_groups(df: DataFrame, percent: int = 6) -> DataFrame:
+    """Classes, links and groups of the rows (id, seq) that have a ring."""
+    reps, members = classes(df)
+    return groups(reps.select("cls"), members, class_pairs(df, reps, percent))
+
+
 def circles(df: DataFrame) -> DataFrame:
     """circle, segs: segments of each complete circle in their order, in the version loaded last, turned to the least rotation."""
     seg = F.struct("seg_index", "loaded_at", F.struct(chromosome(F.col("chr")).alias("chr"), "strand", F.col("start0").cast("bigint").alias("start0"), F.col("end0").cast("bigint").alias("end0")).alias("s"))
@@ -141,8 +165,8 @@ def circles(df: DataFrame) -> DataFrame:
     return rows.withColumn("segs", F.when(F.size("segs") <= 64, F.array_min(turns)).otherwise(F.col("segs")))
 
 
-def circle_pairs(df: DataFrame, reach: int = 20, cell: int = 256) -> DataFrame:
-    """id_a < id_b of circles whose segments agree, going round, one of them passed over at most."""
+def _circle_classes(df: DataFrame, reach: int, cell: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Representatives (cls), membership (id, cls) of classes with several, and pairs of representatives."""
     rows = cut(circles(df))  # one row a circle, read several times
     reps = rows.groupBy("segs").agg(F.min("circle").alias("cls"), F.max("circle").alias("top"), F.size("segs").alias("n"))
     members = rows.join(reps.where("cls < top").select("segs", "cls"), "segs").select(F.col("circle").alias("id"), "cls")
@@ -166,4 +190,15 @@ def circle_pairs(df: DataFrame, reach: int = 20, cell: int = 256) -> DataFrame:
     same = f"forall(sequence(0, size(sa) - 1), i -> exists(array(named_struct('x', get(sa, (o + i) % size(sa)), 'y', get(sb, (t + i) % size(sb)))), p -> {near('p.x', 'p.y')}))"
     agrees = f"exists(sequence(0, size(sb) - 1), t -> exists(sequence(0, if(size(sa) = size(sb), 0, size(sa) - 1)), o -> {same}))"
     pairs = both.where(agrees).select(F.least("a", "b").alias("cls_a"), F.greatest("a", "b").alias("cls_b")).distinct()
+    return reps.select("cls"), members, pairs
+
+
+def circle_pairs(df: DataFrame, reach: int = 20, cell: int = 256) -> DataFrame:
+    """id_a < id_b of circles whose segments agree, going round, one of them passed over at most."""
+    _, members, pairs = _circle_classes(df, reach, cell)
     return all_pairs(pairs, members)
+
+
+def circle_groups(df: DataFrame, reach: int = 20, cell: int = 256) -> DataFrame:
+    """Classes, links and groups of the complete circles."""
+    return groups(*_circle_classes(df, reach, cell))

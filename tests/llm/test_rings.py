@@ -73,7 +73,26 @@ def test_ring_pairs_of_a_table(spark, monkeypatch, letters, all_parts):
     good = {i: s.upper() for i, s in enumerate(seqs) if s and s.isascii() and len(s) < 2000}
     want = {(i, j) for i in good for j in good if i < j and close(good[i], good[j])} | {(len(seqs) - 2, len(seqs) - 1)}
     assert got == want
-    assert ring_join.ring_pairs(df.limit(0)).count() == 0
+    check_groups(ring_join.ring_groups(df), want, {i for i, s in enumerate(seqs) if s and s.isascii()})
+    assert ring_join.ring_pairs(df.limit(0)).count() == ring_join.ring_groups(df.limit(0)).count() == 0
+
+
+def check_groups(df, pairs, ids):
+    """One row an id; its links are its pairs, its group what pairs connect, its class inside its group."""
+    rows = {r["id"]: r for r in df.collect()}
+    assert rows.keys() == ids and df.count() == len(ids)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    for i, r in rows.items():
+        assert r["links"] == sum(i in p for p in pairs) and r["group_id"] == find(i) and find(r["class_id"]) == find(i)
 
 
 SEGS = "circle_no bigint, seg_index int, chr string, start0 bigint, end0 bigint, strand string, loaded_at timestamp, segs string, n int"
@@ -92,6 +111,7 @@ def test_circle_pairs(spark):
     got = {(r["id_a"], r["id_b"]) for r in ring_join.circle_pairs(df).collect()}
     assert got == {(x, y) for x in range(1, 11) for y in range(x + 1, 11) if alike(rows, x, y)}
     assert {(1, 2), (1, 3), (1, 5), (1, 7), (1, 10), (6, 7)} <= got and not {p for p in got if 8 in p}
+    check_groups(ring_join.circle_groups(df), got, {1, 2, 3, 4, 5, 6, 7, 9, 10})
     assert ring_join.circle_pairs(df.limit(0)).count() == 0
 
 
