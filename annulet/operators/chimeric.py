@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annulet.functions import scalars as S
-from annulet.operators.intervals import islands
+from annulet.operators.intervals import islands, overlap_join
 
 MERGE, LEAST_DEGREE, MOST_DEGREE, MAPQ = 500, 95.0, 105.0, 60
 
@@ -86,3 +86,22 @@ def detect(alns: DataFrame, min_loci: int = 2, least: float = LEAST_DEGREE) -> D
         "query_id", F.col("place").alias("segment_in_circle"), "num_segments", "chr", F.col("lo").alias("start0"), F.col("hi").alias("end0"), F.col("locus_strand").alias("strand"), "qs", "qe", "cumulative_length",
         "match_degree", "cov", F.when(F.col("chromosomes") > 1, "Cecc-InterChr").otherwise("Cecc-IntraChr").alias("class"), conf.alias("confidence"), "identity_best", "identity_min", "closed",
     )
+
+
+def doubled_pairs(alns: DataFrame, least_cover: float = 0.8, tolerance: int = 50, margin: int = 50, least_gap: int = 100) -> DataFrame:
+    """query_id, first, second: alignments of the two halves of a doubled sequence that lie at one place of the genome.
+
+    Only of queries whose alignments cover enough of the doubled sequence. An alignment belongs to the first half if it
+    starts, to the second if it ends, more than the margin on that side of the middle. A pair has one strand, overlaps
+    or has middles within the tolerance on the genome, and middles at least ``least_gap`` apart on the query.
+    """
+    spans = islands(alns.select("query_id", "aln_id", "qs", "qe", "size"), ["query_id"], "qs", "qe", ["aln_id"]).groupBy("query_id", "island")
+    cover = spans.agg((F.max("qe") - F.min("qs")).alias("n"), F.max("size").alias("size")).groupBy("query_id").agg((F.sum("n") / (2 * F.max("size"))).alias("cov"))
+    rows = alns.join(cover.where(F.col("cov") >= least_cover), "query_id", "left_semi")
+    keys, middle = ["query_id", "chr", "strand"], (F.col("qs") + F.col("qe")) / 2
+    one = rows.where(F.col("qs") < F.col("size") - margin).select(*keys, F.col("aln_id").alias("first"), (F.col("start0") - tolerance).alias("s1"), (F.col("end0") + tolerance).alias("e1"), middle.alias("m1"))
+    two = rows.where(F.col("qe") > F.col("size") + margin).select(*keys, F.col("aln_id").alias("second"), F.col("start0").alias("s2"), F.col("end0").alias("e2"), middle.alias("m2"))
+    pairs = overlap_join(one, two, keys, ("s1", "e1"), ("s2", "e2"))
+    shared = F.least(F.col("e1") - tolerance, "e2") - F.greatest(F.col("s1") + tolerance, "s2")
+    apart = F.abs((F.col("s1") + F.col("e1")) / 2 - (F.col("s2") + F.col("e2")) / 2)
+    return pairs.where((F.abs(F.col("m1") - F.col("m2")) >= least_gap) & ((shared > 0) | (apart < tolerance))).select("query_id", "first", "second")

@@ -30,6 +30,11 @@ def g5_cycles(spark: SparkSession, d: str) -> DataFrame:
     return C.cycles(C.with_locus(doubled(spark, d))).select("query_id", "place", "locus", "qs", "qe", "closed")
 
 
+def g8_doubled_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Alignments of the two halves of a doubled ring at one place."""
+    return C.doubled_pairs(doubled(spark, d), least_cover=0.5)
+
+
 def q3_chimeric(spark: SparkSession, d: str) -> DataFrame:
     """Chimeric rings among the queries that are neither U nor M (anti-join)."""
     decided = classify.classify(once(spark, d, "alignments", *alignment_queries.COLUMNS)).where("class in ('Uecc', 'Mecc')")
@@ -142,7 +147,7 @@ def u5_distinct_cluster_reads(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    g3_loci, g4_locus_edges, g5_cycles, q3_chimeric, j3_sequence_lookup, x24_ring_sequences, j7_left_over, t9_provisional_numbers, j22_greedy_matches, q11_metrics, j23_molecule_coverage,
+    g3_loci, g4_locus_edges, g5_cycles, g8_doubled_pairs, q3_chimeric, j3_sequence_lookup, x24_ring_sequences, j7_left_over, t9_provisional_numbers, j22_greedy_matches, q11_metrics, j23_molecule_coverage,
     q4_ring_clusters, q5_confirmed, q6_sieved_with_rest, q10_deliverable, u1_union, u3_unaligned_reads, u4_all_reads, u5_distinct_cluster_reads,
 )}
 
@@ -176,6 +181,9 @@ SQL = {
     "g3_loci": f"WITH {_DOUBLED} SELECT aln_id, locus, lo, hi, locus_strand FROM loc",
     "g4_locus_edges": f"WITH {_DOUBLED}, e AS (SELECT query_id, locus AS src, lead(locus) OVER w AS dst, strand || '_' || lead(strand) OVER w AS transition FROM runs WINDOW w AS (PARTITION BY query_id ORDER BY k)) SELECT query_id, src, dst, transition, count(*) AS n FROM e WHERE dst IS NOT NULL GROUP BY ALL",
     "g5_cycles": f"WITH {_DOUBLED} SELECT query_id, place, locus, qs, qe, closed FROM cyc",
+    "g8_doubled_pairs": f"""WITH {_DOUBLED}, r AS (SELECT dbl.* FROM dbl JOIN facts USING (query_id) WHERE cov >= 0.5) SELECT a.query_id, a.aln_id AS first, b.aln_id AS second FROM r a JOIN r b ON a.query_id = b.query_id AND a.chr = b.chr AND a.strand = b.strand
+      AND a.qs < a.size - 50 AND b.qe > b.size + 50 AND abs((a.qs + a.qe) / 2 - (b.qs + b.qe) / 2) >= 100
+      AND (least(a.end0, b.end0) > greatest(a.start0, b.start0) OR abs((a.start0 + a.end0) / 2 - (b.start0 + b.end0) / 2) < 50)""",
     "q3_chimeric": f"""{_FINAL}, {_BODY.format(more=_ONLY)}
       SELECT query_id, place AS segment_in_circle, num_segments, chr, lo AS start0, hi AS end0, locus_strand AS strand, cumulative_length, {fixed_sql('match_degree', 3)} AS match_degree, {fixed_sql('cov', 4)} AS cov,
       CASE WHEN chrs > 1 THEN 'Cecc-InterChr' ELSE 'Cecc-IntraChr' END AS class, {fixed_sql(f"CASE WHEN least({', '.join(_CONF)}) <= 0 THEN 0 ELSE pow({' * '.join(_CONF)}, 0.25) END", 4)} AS confidence
