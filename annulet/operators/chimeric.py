@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from annulet.functions import scalars as S
 from annulet.operators.intervals import islands, overlap_join
+from annulet.session import cut
 
 MERGE, LEAST_DEGREE, MOST_DEGREE, MAPQ = 500, 95.0, 105.0, 60
 
@@ -72,8 +73,8 @@ def strand_closure(located: DataFrame) -> DataFrame:
 
 def detect(alns: DataFrame, min_loci: int = 2, least: float = LEAST_DEGREE) -> DataFrame:
     """One row per segment of each chimeric ring, from (query_id, aln_id, chr, start0, end0, strand, qs, qe, size, identity); size is the ring's."""
-    located = with_locus(alns)
-    segs = cycles(located)
+    located = cut(with_locus(alns))  # read by the cycles, twice, and by the coverage
+    segs = cut(cycles(located))
     whole = segs.groupBy("query_id").agg(F.count("*").alias("num_segments"), F.sum(F.col("hi") - F.col("lo")).alias("cumulative_length"), F.countDistinct("chr").alias("chromosomes"), F.max("size").alias("size"))
     whole = whole.withColumn("match_degree", F.col("cumulative_length") / F.col("size") * 100)
     whole = whole.where((F.col("num_segments") >= min_loci) & F.col("match_degree").between(least, MOST_DEGREE)).drop("size")
