@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annulet.functions import scalars as S
 from annulet.operators import classify, clusters, graph, intervals as I, tandem
+from annulet.operators.numbering import numbered
 from annulet.plans import alignment_queries as A, cluster_queries as K, inferred_queries as Q, ring_queries as R, tandem_queries as T
 from annulet.plans.base import fixed, fixed_sql, once, once_sql
 from annulet.plans.interval_queries import SIMPLE_SQL, simple_circles
@@ -121,12 +122,19 @@ def t4_two_best_loci(spark: SparkSession, d: str) -> DataFrame:
 
 
 def t8_by_priority(spark: SparkSession, d: str) -> DataFrame:
-    """Reads of each class in order: the three that come first by name, for a report."""
+    """The three reads of each class that come first by name, as its SQL has it; ``t8_all_by_priority`` has all reads."""
     classes = tandem.read_classes(tandem.rings(T._rows(spark, d)))
     w = Window.partitionBy("readClass").orderBy("readName")
     return classes.withColumn("place", F.row_number().over(w)).where("place <= 3")
 
 
+def t8_all_by_priority(spark: SparkSession, d: str) -> DataFrame:
+    """All reads with their place along the priority of their class, then their name."""
+    classes = tandem.read_classes(tandem.rings(T._rows(spark, d)))
+    priority = F.array_position(F.array(*map(F.lit, tandem.CLASSES)), F.col("readClass"))
+    return numbered(classes.withColumn("priority", priority), ["priority", "readName"], "place").select("readName", "readClass", "place")
+
+
 def u6_intersection(spark: SparkSession, d: str) -> DataFrame:
     reads = once(spark, d, "tandem", "readName").select("readName")
     aligned = once(spark, d, "alignments", "query_id").select(F.split("query_id", r"\|")[0].alias("readName"))
@@ -188,7 +196,7 @@ def s7_fasta_records(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     j17_tandem_overlaps, a14_distinct_counts, a32_majority_strand, a34_query_coverage, a35_best_site, a41_ordered_distinct, x3_query_intervals, x19_near_or_overlapping, x21_cs_counts,
-    f10_supported_edges, f19_standard_schema, f20_known_ids, f22_partly_overlapping, w3_group_sizes, t2_first_of_each, t4_two_best_loci, t8_by_priority, u6_intersection, j4_metadata_lookup,
+    f10_supported_edges, f19_standard_schema, f20_known_ids, f22_partly_overlapping, w3_group_sizes, t2_first_of_each, t4_two_best_loci, t8_by_priority, t8_all_by_priority, u6_intersection, j4_metadata_lookup,
     j21_jitter_pairs, g12_read_components, g13_circular_components, s20_segment_bed, s7_fasta_records,
 )}
 
