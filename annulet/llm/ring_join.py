@@ -7,11 +7,14 @@ Sequences (``ring_pairs``). Equal rings, whatever their starting base, are one c
 first pivot is the empty ring: a ring's distance to it is its length, and by the triangle inequality a pair
 within ``percent`` % edits differs by no more than that in length. So bands of lengths, each 1/(1 - percent) wide,
 are the first regions, and a ring is put into its own band and the one above it. A band with more letters than a
-task should hold is split again, by pivots that are single shingles (see ``ring_kernel.anchors``): a ring lies at
-a Jaccard distance below 1 from exactly the shingles it holds, a pair within the threshold shares one of the
-pieces of the longer ring, and a part of the band is the set of shingles with one hash remainder. Within a part,
-a bound on the Jaccard distance of shingle multisets removes chance hits, and a banded table of edit costs through
-the shared piece decides.
+task should hold is split again: its rings into blocks, and all rings looked at in it, with the band below, into
+blocks too, of which every two meet in one task (see ``blocks``). Where that would copy a ring more often than it has
+letters, the band is split by pivots that are single shingles (see ``ring_kernel.anchors``): a ring lies at a Jaccard
+distance below 1 from exactly the shingles it holds, a pair within the threshold shares one of the pieces of the
+longer ring, and a part of the band is the set of shingles with one hash remainder. Either way a task holds about
+``LETTERS_PER_PART`` letters, unless one ring is longer or, with shingles, many rings share one of them. Within a
+task, a bound on the Jaccard distance of shingle multisets removes chance hits, and a banded table of edit costs
+through the shared piece decides.
 
 Circles (``circle_pairs``). A circle's segments are points (start0, end0) per chromosome and strand; pivots are
 the centres of a grid over start0, its cells the Voronoi regions, and the window replicates segments within
@@ -40,7 +43,7 @@ from annulet.operators.interval_sweep import chromosome
 from annulet.session import cut
 
 LETTERS_PER_PART = 6_000_000
-ALL_PARTS = 64  # up to so many parts of a band, a ring is simply sent to all of them
+ALL_PARTS = 64  # a band of up to so many tasks' letters is never split by shingles
 MOST_TASKS = 20_000
 
 
@@ -74,38 +77,72 @@ def band(letters: Column, percent: int) -> Column:
     return F.floor(F.log(letters.cast("double")) / -math.log(1 - percent / 100 - 1e-4)).cast("int")
 
 
-def class_pairs(df: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """cls_a, cls_b of representatives within the threshold, each pair in this order or the other, maybe repeated."""
+def blocks(own: int, every: int, own_rings: int, every_rings: int) -> tuple[int, int]:
+    """Into how many blocks to split the rings looked at in a band and the band's own, of ``every`` and ``own`` letters.
+
+    Two blocks are no more than a task should hold; of the ways to do that, the one that copies the fewest letters.
+    """
+    most = LETTERS_PER_PART
+    if every <= most:
+        return 1, 1
+    ways = [(min(math.ceil(every / (most - own / k)), every_rings), k) for k in range(own // most + 1, min(4 * own // most + 2, own_rings) + 1)]
+    return min(ways, key=lambda w: own * w[0] + every * w[1], default=(every_rings, own_rings))
+
+
+def _placed(df: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """Representatives in every task (band, part, i, j) where they are needed: as one of the ``base``, as ``mine`` or both; how many tasks."""
     spark = df.sparkSession
     sizes = df.select(F.length("seq").alias("n")).where("n > 0")
     # One row per band: their number grows with the logarithm of the longest ring.
-    by_band = sizes.groupBy(band(F.col("n"), percent).alias("band")).agg(F.sum("n").alias("letters"), F.min("n").alias("lo"), F.max("n").alias("hi")).collect()
-    letters = {r["band"]: r["letters"] for r in by_band}
-    rows = [(r["band"], math.ceil((r["letters"] + letters.get(r["band"] - 1, 0)) / LETTERS_PER_PART), ring_kernel.piece_length(r["lo"], r["hi"], percent)) for r in by_band]
-    plan = F.broadcast(spark.createDataFrame(rows or [(-1, 1, 1)], "band int, parts int, q int"))
+    by_band = sizes.groupBy(band(F.col("n"), percent).alias("band")).agg(F.sum("n").alias("letters"), F.count("*").alias("rings"), F.min("n").alias("lo"), F.max("n").alias("hi")).collect()
+    total = {r["band"]: (r["letters"], r["rings"]) for r in by_band}
+    rows = []
+    for r in by_band:
+        below = total.get(r["band"] - 1, (0, 0))
+        every, every_rings = r["letters"] + below[0], r["rings"] + below[1]
+        q, times = ring_kernel.piece_length(r["lo"], r["hi"], percent), math.ceil(every / LETTERS_PER_PART)
+        # A ring is in no more parts than it has letters, so with so many times the parts, a part is within the bound.
+        by_shingle = times > max(ALL_PARTS, r["hi"]) and q > 0
+        parts = min(times * r["hi"], 2**31 - 1) if by_shingle else 1
+        rows.append((r["band"], parts, *((1, 1) if by_shingle else blocks(r["letters"], every, r["rings"], every_rings)), q))
+    plan = F.broadcast(spark.createDataFrame(rows or [(-1, 1, 1, 1, 1)], "band int, parts int, bases int, owns int, q int"))
     own = reps.withColumn("b", band(F.col("n"), percent))
     placed = own.select("cls", "n", "ring", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("band"), F.col("b")).join(plan, "band")
-    where = F.sequence(F.lit(0), F.col("parts") - 1)
-    if any(p > ALL_PARTS for _, p, _ in rows):
+    part = F.array(F.lit(0))
+    if any(r[1] > 1 for r in rows):
         # A ring goes only to parts where it has a window: no more copies than it has letters, however large the band.
         @F.pandas_udf("array<int>")
         def held(ring: pd.Series, n: pd.Series, q: pd.Series, parts: pd.Series) -> pd.Series:
             some = zip(ring, n, q, parts)
-            return pd.Series([ring_kernel.parts_of(ring_kernel.unpack(r, k), x, p) if p > ALL_PARTS and x else np.arange(p, dtype=np.int32) for r, k, x, p in some])
+            return pd.Series([ring_kernel.parts_of(ring_kernel.unpack(r, k), x, p) if p > 1 else np.zeros(1, np.int32) for r, k, x, p in some])
+
+        part = held("ring", "n", "q", "parts")
+    base, mine = F.pmod(F.xxhash64("cls"), "bases").cast("int"), F.pmod(F.xxhash64(F.lit(1), "cls"), "owns").cast("int")
+    placed = placed.select("*", base.alias("base"), mine.alias("own"), (F.col("b") == F.col("band")).alias("here"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    place = lambda *c: F.named_struct(*(x for name, v in zip(("i", "j", "base", "mine"), c) for x in (F.lit(name), v)))
+    as_base = F.transform(upto("owns"), lambda j: place(F.col("base"), j, F.lit(True), F.col("here") & (j == F.col("own"))))
+    as_own = F.transform(F.filter(upto("bases"), lambda i: F.col("here") & (i != F.col("base"))), lambda i: place(i, F.col("own"), F.lit(False), F.lit(True)))
+    placed = placed.select("cls", "n", "ring", "band", "parts", "q", F.explode(part).alias("part"), F.concat(as_base, as_own).alias("at"))
+    return placed.select("cls", "n", "ring", "band", "parts", "q", "part", F.inline("at")), sum(parts * bases * owns for _, parts, bases, owns, _ in rows)
+
 
-        where = held("ring", "n", "q", "parts")
-    placed = placed.withColumn("part", F.explode(where))
-    tasks = max(spark.sparkContext.defaultParallelism * 4, min(sum(p for _, p, _ in rows), MOST_TASKS))
+def class_pairs(df: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """cls_a, cls_b of representatives within the threshold, each pair in this order or the other, maybe repeated."""
+    placed, tasks = _placed(df, reps, percent)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism * 4, min(tasks, MOST_TASKS))
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("cls")  # the same order in all tasks
         rings = [ring_kernel.unpack(p, n) for p, n in zip(table["ring"].to_pylist(), table["n"].to_pylist())]
-        mine = table["b"].to_numpy() == table["band"].to_numpy()
+        base, mine = (table[c].to_numpy() for c in ("base", "mine"))
         part, parts, q = (table[c][0].as_py() for c in ("part", "parts", "q"))
-        pairs = ring_kernel.close_pairs(rings, mine, part, parts, percent, q)
+        pairs = ring_kernel.close_pairs(rings, mine, part, parts, percent, q, base)
         ids = table["cls"].to_numpy()
         return pa.table({"cls_a": ids[pairs[:, 0]], "cls_b": ids[pairs[:, 1]]})
 
-    return placed.repartition(tasks, "band", "part").groupBy("band", "part").applyInArrow(run, "cls_a bigint, cls_b bigint")
+    at = ["band", "part", "i", "j"]
+    return placed.repartition(tasks, *at).groupBy(*at).applyInArrow(run, "cls_a bigint, cls_b bigint")
 
 
 def _spread(pairs: DataFrame, members: DataFrame, side: str) -> DataFrame:

@@ -97,8 +97,8 @@ def parts_of(ring: bytes, q: int, parts: int) -> np.ndarray:
     return np.unique(_mixed(_windows([ring], q)[0]) % np.uint64(parts)).astype(np.int32)
 
 
-def anchors(rings: list[bytes], own: np.ndarray, part: int, parts: int, percent: int = 6, q: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
-    """Chunks of (a, place in a, b, place in b): equal pieces of rings a and b, b one of ``own`` and the longer.
+def anchors(rings: list[bytes], own: np.ndarray, part: int, parts: int, percent: int = 6, q: int | None = None, base: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Chunks of (a, place in a, b, place in b): equal pieces of rings a and b, a one of ``base`` (None: of all), b one of ``own`` and the longer.
 
     Ring b is cut into one piece more than a pair may have edits, so one piece is whole in a. Of all pieces, those
     whose hash falls to ``part`` of ``parts`` are looked at.
@@ -126,6 +126,8 @@ def anchors(rings: list[bytes], own: np.ndarray, part: int, parts: int, percent:
     seen = np.zeros(bits, bool)
     seen[_mixed(pieces) & np.uint64(bits - 1)] = True
     hit = np.flatnonzero(seen[_mixed(codes) & np.uint64(bits - 1)])
+    if base is not None:
+        hit = hit[base[ring[hit]]]
     lo, hi = np.searchsorted(pieces, codes[hit]), np.searchsorted(pieces, codes[hit], "right")
     hit, lo, n = hit[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
     ends = np.cumsum(n)
@@ -194,16 +196,17 @@ def within(a: list[bytes], b: list[bytes], most: np.ndarray) -> np.ndarray:
     return good | ((na == 0) & (nb <= most))
 
 
-def close_pairs(rings: list[bytes], own: np.ndarray, part: int = 0, parts: int = 1, percent: int = 6, q: int | None = None) -> np.ndarray:
-    """Index pairs (a, b), b one of ``own`` and the longer, that a rotation and at most ``percent`` % edits make equal.
+def close_pairs(rings: list[bytes], own: np.ndarray, part: int = 0, parts: int = 1, percent: int = 6, q: int | None = None, base: np.ndarray | None = None) -> np.ndarray:
+    """Index pairs (a, b), a one of ``base``, b one of ``own`` and the longer, that a rotation and at most ``percent`` % edits make equal.
 
-    ``q`` is the length of pieces, which all parts must share; without one it follows from the rings given.
+    ``q`` is the length of pieces, which all parts must share; without one it follows from the rings given. Of equally
+    long rings the later one is b, so all calls for one band must have their rings in one order.
     """
     if len(rings) < 2:
         return np.zeros((0, 2), np.int64)
     sizes = np.array([len(s) for s in rings])
     found: list[np.ndarray] = []
-    for a, a_at, b, b_at in anchors(rings, own, part, parts, percent, q):
+    for a, a_at, b, b_at in anchors(rings, own, part, parts, percent, q, base):
         pair = a * np.int64(len(rings)) + b
         order = np.argsort(pair, kind="stable")
         pair, a, a_at, b, b_at = pair[order], a[order], a_at[order], b[order], b_at[order]
