@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 import gzip
+import itertools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,21 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def require_width(path: str, least: int = 12, lines: int = 1000) -> None:
+    """An error that shows up to five of the first lines of a headerless table with fewer than ``least`` fields, and counts the others."""
+    bad = []
+    with open(path, "rb") as f:
+        zipped = f.read(2) == b"\x1f\x8b"
+    with (gzip.open if zipped else open)(path, "rt", encoding="utf-8", errors="replace") as f:
+        for number, line in enumerate(itertools.islice(f, lines), 1):
+            fields = line.strip("\n").split("\t")
+            if fields != [""] and len(fields) < least:
+                bad.append(f"Line {number}: {len(fields)} fields < {least} required")
+    if bad:
+        more = [f"... and {len(bad) - 5} more errors"] if len(bad) > 5 else []
+        raise ValueError("\n".join([f"too few fields in {path}:", *bad[:5], *more]))
+
+
 def from_reference(reference: DataFrame, segments: DataFrame) -> DataFrame:
     """id, seq: the joined sequences of segments (id, seg, chr, start0, end0) fetched from chromosomes (id, seq); minus segments as they stand."""
     cut = F.substring("seq", (F.col("start0") + 1).cast("int"), (F.col("end0") - F.col("start0")).cast("int"))
