@@ -29,22 +29,28 @@ pairs with equal rings; empty tables give no pairs.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annulet.llm import ring_kernel
 from annulet.operators.graph import components
 from annulet.operators.interval_sweep import chromosome
 from annulet.session import cut
 
-LETTERS_PER_PART = 6_000_000
-ALL_PARTS = 64  # a band of up to so many tasks' letters is never split by shingles
-MOST_TASKS = 20_000
+LONGEST = 13  # letters of a shingle
+ENTRIES_PER_PART = 1_000_000  # about so many in a part if shingles are spread evenly
+ENTRIES_PER_TASK = 4_000_000  # a part with more, for a frequent shingle, is met in pairs of blocks
+MOST_PARTS = 20_000
+LETTERS_AT_ONCE = 4_000_000
+
+_ENTRY = T.StructType([T.StructField(c, T.IntegerType() if c in ("part", "i", "j", "own", "entries") else T.BinaryType()) for c in ("part", "i", "j", "own", "entries", "runs", "h", "ring", "context")])
 
 
 def _turned(df: DataFrame) -> DataFrame:
@@ -61,88 +67,122 @@ def _turned(df: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, n int, ring binary")
 
 
+def spark_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Representatives (cls, n, ring) and membership (id, cls) of rings that are equal, from (id, seq)."""
+    """Representatives (cls, n, ring, and num that numbers them by length in each partition) and membership (id, cls) of rings that are equal, from (id, seq)."""
+    spark = df.sparkSession
     keys = [F.xxhash64("ring", "n").alias("h1"), F.xxhash64(F.lit(1), "ring", "n").alias("h2")]
     turned = _turned(df).select("id", "n", "ring", *keys)
-    best = turned.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "ring")).alias("r"))
-    ids = cut(turned.select("id", "h1", "h2"))  # narrow, and read several times
-    groups = ids.groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.max("id").alias("top")).where("cls < top")
-    members = ids.join(groups, ["h1", "h2"]).select("id", "cls").distinct()  # only of classes with several
-    return best.select(F.col("r.id").alias("cls"), "r.n", "r.ring"), members
+    # A fixed number of partitions: what follows costs much per row, and the rows are few.
+    spread = turned.repartition(max(spark.sparkContext.defaultParallelism, spark_partitions(spark)), "h1", "h2")
+    best = spread.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "ring")).alias("r"), F.max("id").alias("top"))
+    reps = cut(best.select("h1", "h2", F.col("r.id").alias("cls"), "top", "r.n", "r.ring").sortWithinPartitions("n"))
+    several = reps.where("cls < top").select("h1", "h2", "cls")
+    members = turned.select("id", "h1", "h2").join(several, ["h1", "h2"]).select("id", "cls").distinct()
+    return reps.select("cls", "n", "ring", F.monotonically_increasing_id().alias("num")), members
 
 
-def band(letters: Column, percent: int) -> Column:
-    """The band of a length; lengths of a pair within the threshold lie in one band or in neighbouring ones."""
-    return F.floor(F.log(letters.cast("double")) / -math.log(1 - percent / 100 - 1e-4)).cast("int")
+def shingle_length(letters: int) -> int:
+    """Letters of a shingle for rings of so many letters in all: an entry meets few others by chance, up to LONGEST letters."""
+    return min(max(math.ceil(math.log(max(letters / 256, 1), 4)), ring_kernel.CONTEXT), LONGEST)
 
 
-def blocks(own: int, every: int, own_rings: int, every_rings: int) -> tuple[int, int]:
-    """Into how many blocks to split the rings looked at in a band and the band's own, of ``every`` and ``own`` letters.
+def _entries(reps: DataFrame, percent: int, most: int, parts: int, blocks: dict[int, int]) -> DataFrame:
+    """part, i, j, own, other, entries, base, lens, h, ring, context: the entries of some rings that belong to one part of the hashes, packed.
 
-    Two blocks are no more than a task should hold; of the ways to do that, the one that copies the fewest letters.
+    A part of several ``blocks`` is met in pairs of blocks (i, j), so its entries go to as many tasks; which of the two they are is ``own``.
     """
-    most = LETTERS_PER_PART
-    if every <= most:
-        return 1, 1
-    ways = [(min(math.ceil(every / (most - own / k)), every_rings), k) for k in range(own // most + 1, min(4 * own // most + 2, own_rings) + 1)]
-    return min(ways, key=lambda w: own * w[0] + every * w[1], default=(every_rings, own_rings))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nums, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // LETTERS_AT_ONCE)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(nums)]):
+                rings = [ring_kernel.unpack(p, n) for p, n in zip(batch.column(2).slice(lo, hi - lo).to_pylist(), sizes[lo:hi].tolist())]
+                for at in range(0, len(rings), 1 << 16):
+                    some = rings[at : at + (1 << 16)]
+                    yield from packed(some, nums[lo + at : lo + at + len(some)])
+
+    def packed(rings: list[bytes], nums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        h, ring, context = ring_kernel.keys(rings, percent, most)
+        bounds = np.searchsorted(h, (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
+        runs = _runs(nums, np.array([len(s) for s in rings], np.int64))
+        rows = []
+        for part in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            k = slice(bounds[part], bounds[part + 1])
+            b = blocks.get(part, 1)
+            own = zlib.crc32(nums[:1].tobytes()) % b
+            row = {"part": part, "own": own, "entries": int(k.stop - k.start), "runs": runs, "h": _planes(np.diff(h[k], prepend=np.uint32(0))), "ring": _planes(ring[k].astype(np.uint16)), "context": context[k].tobytes()}
+            rows += [row | {"i": min(own, o), "j": max(own, o)} for o in range(b)]
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(f.name, pa.int32() if f.dataType.typeName() == "integer" else pa.binary()) for f in _ENTRY.fields]))
+
+    return reps.select("num", "n", "ring").mapInArrow(run, _ENTRY)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The bytes of all numbers, first the lowest of each: what is mostly zero stands together and packs well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(x.size, -1).T).tobytes()
+
+
+def _from_planes(b: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _runs(nums: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Numbers and lengths of rings, as stretches (first number, length, rings) in which numbers follow each other."""
+    heads = np.flatnonzero(np.concatenate([[True], (np.diff(nums) != 1) | (np.diff(sizes) != 0)]))
+    return np.stack([nums[heads], sizes[heads], np.diff(np.append(heads, nums.size))], axis=1).astype(np.int64).tobytes()
+
+
+def _from_runs(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    first, size, count = np.frombuffer(b, np.int64).reshape(-1, 3).T
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(first, count) + step, np.repeat(size, count)
+
+
+def class_pairs(reps: DataFrame, percent: int) -> DataFrame:
+    """cls_a, cls_b of representatives within the threshold, each pair once."""
+    spark = reps.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    letters, rings = reps.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    most = shingle_length(letters)
+    parts = min(max(2 * cores, math.ceil(letters / 3 / ENTRIES_PER_PART)), MOST_PARTS)
+    blocks: dict[int, int] = {}
+    if letters > ENTRIES_PER_TASK:  # with fewer, no part can be too large
+        sizes = _entries(reps, percent, most, parts, {}).groupBy("part").agg(F.sum(F.col("entries").cast("bigint")).alias("n"))
+        blocks = {r["part"]: math.ceil(2 * r["n"] / ENTRIES_PER_TASK) for r in sizes.where(F.col("n") > ENTRIES_PER_TASK).collect()}  # at most MOST_PARTS
+    entries = _entries(reps, percent, most, parts, blocks)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        one = key[1].as_py() == key[2].as_py()
+        held = [table[c].to_pylist() for c in ("runs", "h", "ring", "context", "own")]
+        columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+        for runs, h, ring, context, own in zip(*held):
+            nums, sizes = _from_runs(runs)
+            at = _from_planes(ring, np.uint16)
+            for c, v in zip(columns, (np.cumsum(_from_planes(h, np.uint32), dtype=np.uint32), sizes[at], nums[at], np.frombuffer(context, np.uint16), np.full(at.size, own))):
+                c.append(v)
+        h, n, num, context, own = (np.concatenate(c) for c in columns)
+        a, b = ring_kernel.meeting(h, n, num, context, None if one else own, percent)
+        return pa.table({"num_a": a, "num_b": b})
+
+    at = ["part", "i", "j"]
+    tasks = parts + sum(b * (b + 1) // 2 - 1 for b in blocks.values())
+    maybe = entries.repartition(min(tasks, MOST_PARTS), *at).groupBy(*at).applyInArrow(run, "num_a bigint, num_b bigint").distinct()
+    side = lambda s: reps.select(F.col("num").alias(f"num_{s}"), F.col("cls").alias(f"cls_{s}"), F.col("n").alias(f"n_{s}"), F.col("ring").alias(f"ring_{s}"))
+    both = maybe.join(side("a"), "num_a").repartition(max(cores, spark_partitions(spark)), "num_b").join(side("b"), "num_b")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = ([ring_kernel.unpack(p, n) for p, n in zip(batch[f"ring_{s}"].to_pylist(), batch[f"n_{s}"].to_pylist())] for s in "ab")
+            yield batch.select(["cls_a", "cls_b"]).filter(pa.array(ring_kernel.close(a, b, percent)))
 
-def _placed(df: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, int]:
-    """Representatives in every task (band, part, i, j) where they are needed: as one of the ``base``, as ``mine`` or both; how many tasks."""
-    spark = df.sparkSession
-    sizes = df.select(F.length("seq").alias("n")).where("n > 0")
-    # One row per band: their number grows with the logarithm of the longest ring.
-    by_band = sizes.groupBy(band(F.col("n"), percent).alias("band")).agg(F.sum("n").alias("letters"), F.count("*").alias("rings"), F.min("n").alias("lo"), F.max("n").alias("hi")).collect()
-    total = {r["band"]: (r["letters"], r["rings"]) for r in by_band}
-    rows = []
-    for r in by_band:
-        below = total.get(r["band"] - 1, (0, 0))
-        every, every_rings = r["letters"] + below[0], r["rings"] + below[1]
-        q, times = ring_kernel.piece_length(r["lo"], r["hi"], percent), math.ceil(every / LETTERS_PER_PART)
-        # A ring is in no more parts than it has letters, so with so many times the parts, a part is within the bound.
-        by_shingle = times > max(ALL_PARTS, r["hi"]) and q > 0
-        parts = min(times * r["hi"], 2**31 - 1) if by_shingle else 1
-        rows.append((r["band"], parts, *((1, 1) if by_shingle else blocks(r["letters"], every, r["rings"], every_rings)), q))
-    plan = F.broadcast(spark.createDataFrame(rows or [(-1, 1, 1, 1, 1)], "band int, parts int, bases int, owns int, q int"))
-    own = reps.withColumn("b", band(F.col("n"), percent))
-    placed = own.select("cls", "n", "ring", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("band"), F.col("b")).join(plan, "band")
-    part = F.array(F.lit(0))
-    if any(r[1] > 1 for r in rows):
-        # A ring goes only to parts where it has a window: no more copies than it has letters, however large the band.
-        @F.pandas_udf("array<int>")
-        def held(ring: pd.Series, n: pd.Series, q: pd.Series, parts: pd.Series) -> pd.Series:
-            some = zip(ring, n, q, parts)
-            return pd.Series([ring_kernel.parts_of(ring_kernel.unpack(r, k), x, p) if p > 1 else np.zeros(1, np.int32) for r, k, x, p in some])
-
-        part = held("ring", "n", "q", "parts")
-    base, mine = F.pmod(F.xxhash64("cls"), "bases").cast("int"), F.pmod(F.xxhash64(F.lit(1), "cls"), "owns").cast("int")
-    placed = placed.select("*", base.alias("base"), mine.alias("own"), (F.col("b") == F.col("band")).alias("here"))
-    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-    place = lambda *c: F.named_struct(*(x for name, v in zip(("i", "j", "base", "mine"), c) for x in (F.lit(name), v)))
-    as_base = F.transform(upto("owns"), lambda j: place(F.col("base"), j, F.lit(True), F.col("here") & (j == F.col("own"))))
-    as_own = F.transform(F.filter(upto("bases"), lambda i: F.col("here") & (i != F.col("base"))), lambda i: place(i, F.col("own"), F.lit(False), F.lit(True)))
-    placed = placed.select("cls", "n", "ring", "band", "parts", "q", F.explode(part).alias("part"), F.concat(as_base, as_own).alias("at"))
-    return placed.select("cls", "n", "ring", "band", "parts", "q", "part", F.inline("at")), sum(parts * bases * owns for _, parts, bases, owns, _ in rows)
-
-
-def class_pairs(df: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """cls_a, cls_b of representatives within the threshold, each pair in this order or the other, maybe repeated."""
-    placed, tasks = _placed(df, reps, percent)
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism * 4, min(tasks, MOST_TASKS))
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("cls")  # the same order in all tasks
-        rings = [ring_kernel.unpack(p, n) for p, n in zip(table["ring"].to_pylist(), table["n"].to_pylist())]
-        base, mine = (table[c].to_numpy() for c in ("base", "mine"))
-        part, parts, q = (table[c][0].as_py() for c in ("part", "parts", "q"))
-        pairs = ring_kernel.close_pairs(rings, mine, part, parts, percent, q, base)
-        ids = table["cls"].to_numpy()
-        return pa.table({"cls_a": ids[pairs[:, 0]], "cls_b": ids[pairs[:, 1]]})
-
-    at = ["band", "part", "i", "j"]
-    return placed.repartition(tasks, *at).groupBy(*at).applyInArrow(run, "cls_a bigint, cls_b bigint")
+    return both.select("cls_a", "n_a", "ring_a", "cls_b", "n_b", "ring_b").mapInArrow(decide, "cls_a bigint, cls_b bigint")
 
 
 def _spread(pairs: DataFrame, members: DataFrame, side: str) -> DataFrame:
@@ -180,13 +220,13 @@ def groups(reps: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
 def ring_pairs(df: DataFrame, percent: int = 6) -> DataFrame:
     """id_a < id_b of rows (id, seq) whose rings a rotation and at most ``percent`` % edits make equal."""
     reps, members = classes(df)
-    return all_pairs(class_pairs(df, reps, percent).distinct(), members)
+    return all_pairs(class_pairs(reps, percent), members)
 
 
 def ring_groups(df: DataFrame, percent: int = 6) -> DataFrame:
     """Classes, links and groups of the rows (id, seq) that have a ring."""
     reps, members = classes(df)
-    return groups(reps.select("cls"), members, class_pairs(df, reps, percent))
+    return groups(reps.select("cls"), members, class_pairs(reps, percent))
 
 
 def circles(df: DataFrame) -> DataFrame:

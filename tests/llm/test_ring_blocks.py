@@ -1,4 +1,4 @@
-"""Bands too large for one task: the same pairs, and no task holds much more than it should."""
+"""Rings in many parts: the same pairs, entries in proportion to letters, and no task with more than it should hold."""
 
 import random
 
@@ -13,25 +13,31 @@ def table(spark, seqs):
     return spark.createDataFrame(list(enumerate(seqs)), "id bigint, seq string").repartition(3)
 
 
-@pytest.mark.parametrize("n, letters, all_parts, tasks", [(50, 700, 64, 20), (16, 16, 2, 1000)])
-def test_pairs_of_a_split_band(spark, monkeypatch, n, letters, all_parts, tasks):
-    monkeypatch.setattr(ring_join, "LETTERS_PER_PART", letters)
-    monkeypatch.setattr(ring_join, "ALL_PARTS", all_parts)
+@pytest.mark.parametrize("n, part, task", [(50, 20, 10**6), (16, 40, 50), (90, 10**6, 150)])
+def test_pairs_in_many_parts(spark, monkeypatch, n, part, task):
+    monkeypatch.setattr(ring_join, "ENTRIES_PER_PART", part)
+    monkeypatch.setattr(ring_join, "ENTRIES_PER_TASK", task)
     rnd = random.Random(5)
-    bases = ["".join(rnd.choice("ACGT") for _ in range(n)) for _ in range(14)]
-    seqs = [changed(s, rnd.choice([0, 1, 2, 3]), rnd) for s in bases for _ in range(6)]
-    df = table(spark, seqs)
-    assert ring_join._placed(df, ring_join.classes(df)[0], 6)[1] >= tasks
+    bases = ["".join(rnd.choice("ACGT") for _ in range(n)) for _ in range(max(4, 300 // n))]
+    seqs = [changed(s, rnd.choice([0, 1, 2, 3]), rnd) for s in bases for _ in range(5)]
     want = {(i, j) for j in range(len(seqs)) for i in range(j) if close(seqs[i], seqs[j])}
-    assert sorted((r["id_a"], r["id_b"]) for r in ring_join.ring_pairs(df).collect()) == sorted(want) and len(want) > 20
+    assert sorted((r["id_a"], r["id_b"]) for r in ring_join.ring_pairs(table(spark, seqs)).collect()) == sorted(want) and len(want) > 10
 
 
-@pytest.mark.parametrize("n, letters, all_parts", [(40, 4000, 64), (40, 1500, 64), (16, 1000, 2)])
-def test_letters_in_a_task(spark, monkeypatch, n, letters, all_parts):
-    monkeypatch.setattr(ring_join, "LETTERS_PER_PART", letters)
-    monkeypatch.setattr(ring_join, "ALL_PARTS", all_parts)
+def test_entries_grow_with_letters_and_a_frequent_shingle_is_split(spark, monkeypatch):
+    """A third of the rings share one long stretch."""
+    monkeypatch.setattr(ring_join, "LETTERS_AT_ONCE", 5000)
     rnd = random.Random(3)
-    df = table(spark, ["".join(rnd.choice("ACGT") for _ in range(n)) for _ in range(1200)])
-    placed, _ = ring_join._placed(df, ring_join.classes(df)[0], 6)
-    held = placed.groupBy("band", "part", "i", "j").agg(F.sum("n")).collect()
-    assert len(held) > 1200 * n / letters and max(r[-1] for r in held) < 1.6 * letters
+    letters = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    shared = letters(40)
+    share = []
+    for rings in (600, 2400):
+        seqs = [shared * (i % 3 == 0) + letters(260 - 40 * (i % 3 == 0)) for i in range(rings)]
+        reps = ring_join.classes(table(spark, seqs))[0]
+        held = ring_join._entries(reps, 6, 9, 20 * rings // 600, {}).groupBy("part").agg(F.sum("entries").alias("n")).collect()
+        share.append(sum(r["n"] for r in held) / sum(map(len, seqs)))
+        most = max(r["n"] for r in held)
+        blocks = {r["part"]: 4 for r in held if r["n"] == most}
+        split = ring_join._entries(reps, 6, 9, 20 * rings // 600, blocks).groupBy("part", "i", "j").agg(F.sum("entries").alias("n")).collect()
+        assert max(r["n"] for r in split if r["part"] in blocks) < 0.9 * most
+    assert share[1] < 1.05 * share[0] and share[0] < 0.3

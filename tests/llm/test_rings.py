@@ -42,15 +42,54 @@ def family(rnd, letters="ACGT"):
     return [base] + [changed(base, rnd.choice([0, 1, n * 6 // 100, n * 6 // 100 + 1]), rnd) for _ in range(3)]
 
 
-def test_kernel_against_brute_force():
-    rnd = random.Random(11)
-    for trial in range(12):
-        rings = sorted(set(K.canonical([s.encode() for _ in range(6) for s in family(rnd, ["ACGTN", "AC", "ACGT"][trial % 3])])))
-        assert all(s == min(s[i:] + s[:i] for i in range(len(s))) for s in rings)
-        got = {tuple(sorted(map(int, p))) for p in K.close_pairs(rings, np.ones(len(rings), bool))}
-        parts = {tuple(sorted(map(int, p))) for k in range(3) for p in K.close_pairs(rings, np.ones(len(rings), bool), k, 3)}
-        want = {(i, j) for i in range(len(rings)) for j in range(i + 1, len(rings)) if close(rings[i], rings[j])}
-        assert got == parts == want
+@pytest.mark.parametrize("trial", range(12))
+def test_kernel_against_brute_force(trial):
+    rnd = random.Random(trial)
+    rings = sorted(set(K.canonical([s.encode() for _ in range(6) for s in family(rnd, ["ACGTN", "AC", "ACGT"][trial % 3])])))
+    assert all(s == min(s[i:] + s[:i] for i in range(len(s))) for s in rings)
+    want = {(i, j) for i in range(len(rings)) for j in range(i + 1, len(rings)) if close(rings[i], rings[j])}
+    n = np.array([len(s) for s in rings])
+    for most in (8, 10, 13):
+        h, ring, context = K.keys(rings, 6, most)
+        a, b = K.meeting(h, n[ring], ring, context)
+        good = K.close([rings[i] for i in a], [rings[j] for j in b])
+        assert {(int(i), int(j)) for i, j in zip(a[good], b[good])} == want
+
+
+def test_every_ring_has_room_for_its_shingles():
+    for most in (8, 9, 12, 13):
+        n = np.arange(16, 5000)
+        for longer in (n, K.longest_partner(n)):
+            assert (K.shingle_length(longer, 6, most) * (K.edits(K.longest_partner(n)) + 1) <= n).all()
+
+
+def test_contexts_differ_by_one_edit_at_most():
+    rnd = random.Random(1)
+    number = lambda v: sum(c << 2 * (7 - i) for i, c in enumerate(v))
+    rows = []
+    for _ in range(1500):
+        a = [rnd.randrange(4) for _ in range(8)]
+        b = a + [rnd.randrange(4)]
+        for _ in range(rnd.randrange(3)):
+            i, how = rnd.randrange(8), rnd.random()
+            b[i : i + (how > 0.3)] = [rnd.randrange(4)] if how < 0.7 else []
+        rows.append((a, (b + [0] * 8)[:8]))
+    got = K.alike(*(np.array([number(r[i]) for r in rows], np.uint16) for i in (0, 1)))
+    ends = [(8, y) for y in (7, 8)] + [(7, 8)]
+    assert got.tolist() == [any(distance(a[:x], b[:y]) <= 1 for x, y in ends) for a, b in rows]
+
+
+def test_least_edits_inside_a_text():
+    rnd = random.Random(4)
+    for _ in range(100):
+        a, b = ("".join(rnd.choice("AC") for _ in range(rnd.randrange(1, n))) for n in (9, 16))
+        assert K.least_inside(a.encode(), b.encode()) == min(distance(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1))
+
+
+def test_rings_that_repeat_themselves():
+    a, b = b"AC" * 400, b"AC" * 380 + b"GT" * 20
+    c = b"AC" * 300 + b"TG" * 90 + b"CC" * 10
+    assert K.close([a, a, b], [b, c, c]).tolist() == [close("AC" * 400, b.decode()), False, False]
 
 
 def test_packing_keeps_rings():
@@ -61,10 +100,11 @@ def test_packing_keeps_rings():
             assert K.unpack(K.pack(s), n) == s
 
 
-@pytest.mark.parametrize("letters, all_parts", [(10**6, 64), (400, 64), (100, 2)])
-def test_ring_pairs_of_a_table(spark, monkeypatch, letters, all_parts):
-    monkeypatch.setattr(ring_join, "LETTERS_PER_PART", letters)
-    monkeypatch.setattr(ring_join, "ALL_PARTS", all_parts)
+@pytest.mark.parametrize("part, task, letters", [(10**6, 10**6, 10**6), (20, 10**6, 300), (200, 60, 10**6)])
+def test_ring_pairs_of_a_table(spark, monkeypatch, part, task, letters):
+    monkeypatch.setattr(ring_join, "ENTRIES_PER_PART", part)
+    monkeypatch.setattr(ring_join, "ENTRIES_PER_TASK", task)
+    monkeypatch.setattr(ring_join, "LETTERS_AT_ONCE", letters)
     rnd = random.Random(2)
     seqs = [s for _ in range(12) for s in family(rnd)] + ["acgtacgtaacc", "ACGTAACCACGT", None, "", "ÄCGT", "A" * 3000, "A" * 3000]
     rows = [(i, s, i, "x") for i, s in enumerate(seqs)]
