@@ -47,6 +47,7 @@ from annulet.session import cut
 LONGEST = 13  # letters of a shingle
 ENTRIES_PER_PART = 1_000_000  # about so many in a part if shingles are spread evenly
 ENTRIES_PER_TASK = 4_000_000  # a part with more, for a frequent shingle, is met in pairs of blocks
+ENTRIES_OF_A_RING = 4  # so many a shingle may have in one ring, on the average, with different letters after it
 MOST_PARTS = 20_000
 LETTERS_AT_ONCE = 4_000_000
 
@@ -153,7 +154,7 @@ def class_pairs(reps: DataFrame, percent: int) -> DataFrame:
     most = shingle_length(letters)
     parts = min(max(2 * cores, math.ceil(letters / 3 / ENTRIES_PER_PART)), MOST_PARTS)
     blocks: dict[int, int] = {}
-    if letters > ENTRIES_PER_TASK:  # with fewer, no part can be too large
+    if rings * ENTRIES_OF_A_RING > ENTRIES_PER_TASK:  # with fewer rings no shingle has too many entries: equal ones of a ring are one
         sizes = _entries(reps, percent, most, parts, {}).groupBy("part").agg(F.sum(F.col("entries").cast("bigint")).alias("n"))
         blocks = {r["part"]: math.ceil(2 * r["n"] / ENTRIES_PER_TASK) for r in sizes.where(F.col("n") > ENTRIES_PER_TASK).collect()}  # at most MOST_PARTS
     entries = _entries(reps, percent, most, parts, blocks)
