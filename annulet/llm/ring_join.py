@@ -1,20 +1,16 @@
 """Near-duplicate rings: exact similarity joins of circular sequences and of circles of segments.
 
-Both joins work in regions around pivots, with windows wide enough that every pair within the threshold meets in
-at least one region, and then join each region exactly.
-
-Sequences (``ring_pairs``). Equal rings, whatever their starting base, are one class with one representative. The
-first pivot is the empty ring: a ring's distance to it is its length, and by the triangle inequality a pair
-within ``percent`` % edits differs by no more than that in length. So bands of lengths, each 1/(1 - percent) wide,
-are the first regions, and a ring is put into its own band and the one above it. A band with more letters than a
-task should hold is split again: its rings into blocks, and all rings looked at in it, with the band below, into
-blocks too, of which every two meet in one task (see ``blocks``). Where that would copy a ring more often than it has
-letters, the band is split by pivots that are single shingles (see ``ring_kernel.anchors``): a ring lies at a Jaccard
-distance below 1 from exactly the shingles it holds, a pair within the threshold shares one of the pieces of the
-longer ring, and a part of the band is the set of shingles with one hash remainder. Either way a task holds about
-``LETTERS_PER_PART`` letters, unless one ring is longer or, with shingles, many rings share one of them. Within a
-task, a bound on the Jaccard distance of shingle multisets removes chance hits, and a banded table of edit costs
-through the shared piece decides.
+Both joins gather in regions what may be alike, so that every pair within the threshold meets in at least one, and
+then decide each candidate exactly.
+
+Sequences (``ring_pairs``). Equal rings, whatever their starting base, are one class with one representative. Every
+ring is looked up by its first shingles in one order of all shingles, as many as its pairs may have edits and one
+more side by side (see ``ring_kernel.keys``); two rings within ``percent`` % edits share one of them, with nearly the
+same letters after it. Only these entries (hash, ring, following letters) are shuffled, a number of bytes in
+proportion to the letters however many there are; the parts they go to are ranges of the hash, as many as the data
+asks for, and a part that a frequent shingle makes too large is met in pairs of blocks. Lengths must fit by the
+triangle inequality (the distance to the empty ring is the length). Sequences are fetched for candidates only,
+where a bound on the Jaccard distance of shingle multisets and a banded table of edit costs decide.
 
 Circles (``circle_pairs``). A circle's segments are points (start0, end0) per chromosome and strand; pivots are
 the centres of a grid over start0, its cells the Voronoi regions, and the window replicates segments within
@@ -35,10 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annulet.functions.rings import least_rotation
 from annulet.llm import ring_kernel
 from annulet.operators.graph import components
 from annulet.operators.interval_sweep import chromosome
@@ -238,9 +235,21 @@ def circles(df: DataFrame) -> DataFrame:
     rows = rows.select("circle", F.transform(last, lambda x: x["s"]).alias("segs"))
     missing = lambda s: s["chr"].isNull() | s["strand"].isNull() | s["start0"].isNull() | s["end0"].isNull()
     rows = rows.where(~F.exists("segs", missing) & (F.size("segs") > 0))
-    turns = F.transform(F.sequence(F.lit(0), F.size("segs") - 1), lambda i: F.concat(F.slice("segs", i + 1, F.size("segs")), F.slice("segs", 1, i)))
-    # Turning costs the square of the number of segments; longer circles stay as they are, which only keeps equal ones apart.
-    return rows.withColumn("segs", F.when(F.size("segs") <= 64, F.array_min(turns)).otherwise(F.col("segs")))
+    return rows.withColumn("segs", _least_turn(F.col("segs")))
+
+
+def _least_turn(segs: Column) -> Column:
+    """An array turned to its least rotation, its items in the order of their hashes, in linear time whatever its length."""
+
+    @F.pandas_udf("int")
+    def among_equals(ranks: pd.Series) -> pd.Series:
+        return pd.Series([None if r is None else least_rotation(list(r)) for r in ranks], dtype="Int32")
+
+    ranks = F.transform(segs, lambda s: F.xxhash64(s["chr"], s["strand"], s["start0"], s["end0"]))
+    least = F.array_min(ranks)
+    several = F.size(F.filter(ranks, lambda r: r == least)) > 1  # only then does more than the least one decide
+    at = F.coalesce(among_equals(F.when(several, ranks)), F.array_position(ranks, least).cast("int") - 1)
+    return F.concat(F.slice(segs, at + 1, F.size(segs)), F.slice(segs, F.lit(1), at))
 
 
 def _circle_classes(df: DataFrame, reach: int, cell: int) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -155,6 +155,14 @@ def test_circle_pairs(spark):
     assert ring_join.circle_pairs(df.limit(0)).count() == 0
 
 
+def test_long_circles_are_turned_alike(spark):
+    """Circles of very many segments, also with repeated ones, are one class wherever they start."""
+    a, b = [("chr1", 100 * i, 100 * i + 50, "+") for i in range(90)], [("chr2", 10, 90, "+"), ("chr2", 500, 900, "-")] * 50
+    rows = circle(1, *a) + circle(2, *a[70:], *a[:70]) + circle(3, *b) + circle(4, *b[51:], *b[:51])
+    found = {r["id"]: r["class_id"] for r in ring_join.circle_groups(spark.createDataFrame(rows, SEGS)).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
 def alike(rows, *pair):
     """The definition itself."""
     segs = [[(r[2], r[5], r[3], r[4]) for r in sorted(set(rows), key=lambda r: r[1]) if r[0] == p] for p in pair]
