@@ -6,8 +6,10 @@ time; everything before and after is relational.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, replace
+from functools import reduce
 
 NEAR = 50
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -81,37 +83,33 @@ def longest_run(order: list, part: list) -> range:
     return best
 
 
-def _joined(a: Hit, b: Hit) -> Hit:
-    return replace(b, q_start=min(a.q_start, b.q_start), q_end=max(a.q_end, b.q_end), r_start=min(a.r_start, b.r_start), r_end=max(a.r_end, b.r_end),
-                   match=max(a.match, b.match), block=max(a.block, b.block), mapq=max(a.mapq, b.mapq))
+#: How a field of two hits becomes one; every other field is the later hit's.
+FUSED = {"q_start": min, "r_start": min, "q_end": max, "r_end": max, "match": max, "block": max, "mapq": max}
+
+#: What becomes of a hit, by how far it starts behind the end of the last kept one (rows: by ``overlap`` or more before
+#: it, up to it, within the gap, further) and by where both lie (columns: near on one strand, far on one strand, elsewhere).
+DECISIONS = (("fuse", "keep", "longer"), ("keep", "keep", "keep"), ("fuse", "keep", "keep"), ("drop", "drop", "drop"))
 
 
 def merged(hits: list[Hit], gap: int = 10, overlap: int = 10, distance: int = 1000) -> list[Hit]:
-    """Hits in query order, neighbours merged where query and reference agree; a hit beyond the gap is dropped."""
-    kept: list[Hit] = []
-    for h in hits:
+    """Hits in query order, folded by the table of decisions."""
+    limits = (-overlap, 0, gap)
+
+    def fold(kept: list[Hit], hit: Hit) -> list[Hit]:
         if not kept:
-            kept.append(h)
-            continue
-        p = kept[-1]
-        meets = lambda reach: p.q_start <= h.q_end and h.q_start <= p.q_end + reach  # noqa: B023, E731
-        same = p.ref == h.ref and p.strand == h.strand
-        close = same and abs(p.r_end - h.r_start) <= distance
-        if meets(0) and abs(p.q_end - h.q_start) >= overlap:
-            if close:
-                kept[-1] = _joined(p, h)
-            elif same:
-                kept.append(h)
-            elif h.q_end - h.q_start > p.q_end - p.q_start:
-                kept[-1] = h
-        elif meets(0):
-            kept.append(h)
-        elif meets(gap):
-            if close:
-                kept[-1] = _joined(p, h)
-            else:
-                kept.append(h)
-    return kept
+            return [hit]
+        last = kept[-1]
+        where = 2 if (last.ref, last.strand) != (hit.ref, hit.strand) else int(abs(last.r_end - hit.r_start) > distance)
+        match DECISIONS[bisect_left(limits, hit.q_start - last.q_end)][where]:
+            case "fuse":
+                kept[-1] = replace(hit, **{f: pick(getattr(last, f), getattr(hit, f)) for f, pick in FUSED.items()})
+            case "longer":
+                kept[-1] = max(last, hit, key=lambda x: x.q_end - x.q_start)
+            case "keep":
+                kept.append(hit)
+        return kept
+
+    return reduce(fold, hits, [])
 
 
 def trimmed(hits: list[Hit], gap: int = 10, overlap: int = 10, distance: int = 1000) -> tuple[list[Hit], int, bool]:

@@ -6,8 +6,9 @@ the gathered row. Clean lines are those that an anti-join with the rejected ones
 
 Defined cases: a null or empty line fails with ``empty line``; a wrong number of fields fails with
 ``field count`` and its cells are not judged; a line delivered more than once counts once, in its latest
-version; one carriage return at the end is dropped, a second one is content. Numbers of any length are
-compared digit by digit; in typed records a number beyond the column's type is null.
+version; a line without line_id is rejected as ``no line id``, each by itself; one carriage return at the end is
+dropped, a second one is content. Numbers of any length are compared digit by digit; in typed records a number beyond
+the column's type is null, and ``beyond`` names its column.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ OVERVIEW = Layout(
 
 def latest_lines(lines: DataFrame) -> DataFrame:
     """One row (line_id, raw) for each line_id, the one loaded last."""
-    return lines.groupBy("line_id").agg(F.max_by("raw", F.struct("loaded_at", F.coalesce("raw", F.lit("")))).alias("raw"))
+    return lines.where("line_id is not null").groupBy("line_id").agg(F.max_by("raw", F.struct("loaded_at", F.coalesce("raw", F.lit("")))).alias("raw"))
 
 
 def judge(lines: DataFrame, layout: Layout) -> DataFrame:
@@ -125,11 +126,10 @@ def judge(lines: DataFrame, layout: Layout) -> DataFrame:
     by_name = {n: F.col(f"c{i}") for i, (n, _, _) in enumerate(layout.columns)}
     across = [F.when(~holds(by_name), F.lit(why)) for why, holds in layout.row_rules.items()]
     across = F.when(F.size("errors") == 0, F.array_compact(F.array(*across))).otherwise(F.array().cast("array<string>"))
-    return gathered.select(
-        "line_id",
-        F.struct(*(F.col(f"c{i}").alias(n) for i, (n, _, _) in enumerate(layout.columns))).alias("cells"),
-        F.array_sort(F.concat("errors", across)).alias("errors"),
-    )
+    cells = F.struct(*(F.col(f"c{i}").alias(n) for i, (n, _, _) in enumerate(layout.columns))).alias("cells")
+    nothing = F.struct(*(F.lit(None).cast("string").alias(n) for n, _, _ in layout.columns)).alias("cells")
+    nameless = lines.where("line_id is null").select("line_id", nothing, F.array(F.lit("no line id")).alias("errors"))
+    return gathered.select("line_id", cells, F.array_sort(F.concat("errors", across)).alias("errors")).unionByName(nameless)
 
 
 def rejected(judged: DataFrame) -> DataFrame:
@@ -139,5 +139,7 @@ def rejected(judged: DataFrame) -> DataFrame:
 
 def records(judged: DataFrame, layout: Layout) -> DataFrame:
     """The clean lines as typed records: an anti-join against the rejected ones."""
-    clean = judged.join(rejected(judged), "line_id", "left_anti")
-    return clean.select("line_id", *(F.col(f"cells.{n}").try_cast(t).alias(n) for n, t, _ in layout.columns))
+    clean = judged.where("line_id is not null").join(rejected(judged), "line_id", "left_anti")
+    typed = {n: F.col(f"cells.{n}").try_cast(t) for n, t, _ in layout.columns}
+    beyond = F.concat_ws(",", *(F.when(v.isNull(), n) for n, v in typed.items()))
+    return clean.select("line_id", *(v.alias(n) for n, v in typed.items()), beyond.alias("beyond"))

@@ -8,7 +8,7 @@ are small by nature; coverage, overlap joins, edge counts and components are dis
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annulet.functions import read_trim as R
@@ -70,9 +70,18 @@ def breakpoint_edges(pairs: DataFrame, support: int) -> DataFrame:
     return edges.where(F.col("reads") >= support)
 
 
-def circles(hits: DataFrame, min_depth: float = 5.0, min_size: int = 200, support: int = 3) -> DataFrame:
-    """id, merge_region, merge_len, num_region, ctc, numreads, totalbase, coverage of every component of the breakpoint graph."""
-    kept = cut(trim(hits))
+def shown(region: Column) -> Column:
+    """``chr_s_e_strand``, half-open from 0, as ``chr:s-e_strand``, closed from 1."""
+    part = lambda i: F.regexp_extract(region, r"^(.*)_(\d+)_(\d+)_([+-])$", i)
+    return F.concat(part(1), F.lit(":"), (part(2).cast("bigint") + 1).cast("string"), F.lit("-"), part(3), F.lit("_"), part(4))
+
+
+def circles(hits: DataFrame, min_depth: float = 5.0, min_size: int = 200, support: int = 3, gap: int = 10, overlap: int = 10, distance: int = 1000) -> DataFrame:
+    """id, merge_region, merge_len, num_region, ctc, numreads, totalbase, coverage of every component of the breakpoint graph.
+
+    ``merge_region`` holds ``chr:s-e_strand``, closed from 1, joined by commas along the circle.
+    """
+    kept = cut(trim(hits, gap, overlap, distance))
     found = cut(regions(kept, min_depth, min_size))
     pairs = cut(annotated(kept, found))
     edges = cut(breakpoint_edges(pairs, support))
@@ -101,11 +110,17 @@ def circles(hits: DataFrame, min_depth: float = 5.0, min_size: int = 200, suppor
     stats = stats.agg(F.sum(F.col("q_end") - F.col("q_start")).alias("totalbase"), F.countDistinct("readid").alias("numreads"))
     out = whole.join(length, "component").join(stats, "component")
     coverage = F.when(F.col("merge_len") > 0, F.col("totalbase") / F.col("merge_len")).otherwise(0.0)
-    return out.select(F.col("component").alias("id"), F.array_join("regions", ",").alias("merge_region"), "merge_len", "num_region", "ctc", "numreads", "totalbase", F.format_string("%.2f", coverage).alias("coverage"))
+    return out.select(F.col("component").alias("id"), F.array_join(F.transform("regions", shown), ",").alias("merge_region"), "merge_len", "num_region", "ctc", "numreads", "totalbase", F.format_string("%.2f", coverage).alias("coverage"))
+
 
+def overview(found: DataFrame, prob_present: float = 0.95, prob_artifact: float = 0.0) -> DataFrame:
+    """The split-read circles in the form of the overview table: regions ``chr:s-e``, closed from 1, joined by ``;``.
 
-def overview(found: DataFrame) -> DataFrame:
-    """The split-read circles in the form of the overview table: regions ``chr:s-e`` joined by ``;``, counted from 1."""
-    one = lambda r: F.regexp_replace(r, r"^(.*)_(\d+)_(\d+)_[+-]$", "$1:$2-$3")
-    return found.select(F.array_join(F.transform(F.split("merge_region", ","), one), ";").alias("regions"), F.col("merge_len").alias("circle_length"), F.col("num_region").alias("segment_count"),
-                        F.col("numreads").alias("num_split_reads"), F.least(F.col("coverage").cast("double") / 100.0, F.lit(1.0)).alias("af_nanopore"))
+    The probabilities are placeholders, for nothing here measures them; regions that don't read ``chr:s-e_strand`` make a row fall out.
+    """
+    regions = F.split("merge_region", "[;,]")
+    read = F.forall(regions, lambda r: r.rlike(r"^.+:\d+-\d+_[+-]$"))
+    return found.where(read).select(
+        F.array_join(F.transform(regions, lambda r: F.regexp_replace(r, "_[+-]$", "")), ";").alias("regions"), F.col("merge_len").alias("circle_length"), F.size(regions).alias("segment_count"),
+        F.col("numreads").alias("num_split_reads"), F.lit(prob_present).alias("prob_present"), F.lit(prob_artifact).alias("prob_artifact"), F.least(F.col("coverage").cast("double") / 100.0, F.lit(1.0)).alias("af_nanopore"),
+    )

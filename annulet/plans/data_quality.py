@@ -83,7 +83,8 @@ AND regexp_full_match(f[7], '[0-9]+(\.[0-9]+)?') AND TRY_CAST(f[7] AS DOUBLE) <=
 
 def _typed(layout: parse_errors.Layout, ok: str) -> str:
     columns = ", ".join(f'TRY_CAST(f[{i}] AS {"VARCHAR" if t == "string" else t}) AS "{n}"' for i, (n, t, _) in enumerate(layout.columns, 1))
-    return f"SELECT line_id, {columns} FROM ({_CELLS.format(t=layout.name)}) WHERE coalesce({ok}, FALSE)"
+    beyond = ", ".join(f"CASE WHEN TRY_CAST(f[{i}] AS {t}) IS NULL THEN '{n}' END" for i, (n, t, _) in enumerate(layout.columns, 1) if t != "string")
+    return f"SELECT line_id, {columns}, concat_ws(',', {beyond}) AS beyond FROM ({_CELLS.format(t=layout.name)}) WHERE coalesce({ok}, FALSE)"
 
 
 _CHR = r"'chr' || regexp_replace(upper(regexp_replace(chr, '^\s+|\s+$', '', 'g')), '^CHR\s*', '')"

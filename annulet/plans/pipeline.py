@@ -94,7 +94,7 @@ def _split_hits(rows: DataFrame, mapq: int) -> DataFrame:
 
 
 def _curated(found: DataFrame, config: Config) -> DataFrame:
-    rows = split_reads.overview(found).withColumns({"rec_id": F.xxhash64("regions"), "prob_present": F.lit(1.0), "prob_artifact": F.lit(0.0)})
+    rows = split_reads.overview(found).withColumn("rec_id", F.xxhash64("regions"))
     simple = curate.simple(rows).select("eccDNA_id", F.lit(0).alias("seg"), F.lit(1).alias("segs"), "chr", "start0", "end0", "strand", "length", "num_split_reads")
     many = curate.chimeric(rows, config.curate.min_segments, config.curate.min_splits)
     return simple.unionByName(many.select("eccDNA_id", (F.col("seg_index") - 1).alias("seg"), F.col("seg_total").alias("segs"), "chr", "start0", "end0", "strand", "length", "num_split_reads"))
@@ -135,7 +135,7 @@ def standard() -> list[Stage]:
         Stage("unclassified", ("alignments", "classes"), lambda a, d, c: a.join(d.where("class in ('Uecc', 'Mecc')").select("query_id"), "query_id", "left_anti")),
         Stage("chimeric", ("unclassified",), lambda a, c: chimeric.detect(_doubled(a), c.chimeric.min_loci, c.chimeric.min_match_degree)),
         Stage("confirmed", ("classes", "alignments", "chimeric"), _confirmed, ("id", "kind", "chr", "start0", "end0")),
-        Stage("split_reads", ("unclassified",), lambda a, c: split_reads.circles(_split_hits(a, c.split_reads.mapq), c.split_reads.min_depth, c.split_reads.min_size, c.split_reads.support)),
+        Stage("split_reads", ("unclassified",), lambda a, c: split_reads.circles(_split_hits(a, c.split_reads.mapq), c.split_reads.min_depth, c.split_reads.min_size, c.split_reads.support, c.split_reads.gap, c.split_reads.overlap, c.split_reads.distance)),
         Stage("inferred", ("split_reads",), _curated),
         Stage("unified", ("confirmed", "inferred"), _unified, ("id", "kind", "state")),
         Stage("summary", ("unified",), _summary),

@@ -34,7 +34,15 @@ def test_tandem_lines(spark):
     bad, clean = verdicts(spark, [c for c, _ in cases], P.TANDEM)
     for i, (text, why) in enumerate(cases):
         assert (i in clean) if why is None else (why in bad[i]), (text, bad.get(i))
-    assert clean[0]["copyNum"] == 2.5 and clean[2]["consSeq"] == "acgt" and clean[36]["end"] is None
+    assert clean[0]["copyNum"] == 2.5 and clean[2]["consSeq"] == "acgt" and clean[36]["end"] is None and clean[36]["beyond"] == "readLen,end" and clean[0]["beyond"] == ""
+
+
+def test_lines_without_id_are_rejected_each_by_itself(spark):
+    df = spark.createDataFrame([(1, line(), None), (None, "x", None), (None, line(), None), (3, "x", None)], "line_id bigint, raw string, loaded_at timestamp")
+    judged = P.judge(df, P.TANDEM)
+    assert [r["line_id"] for r in P.records(judged, P.TANDEM).collect()] == [1]
+    bad = sorted((r["line_id"] or 0, *r["errors"]) for r in P.rejected(judged).collect())
+    assert bad == [(0, "no line id"), (0, "no line id"), (3, "field count")]
 
 
 def test_overview_lines(spark):
