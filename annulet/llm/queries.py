@@ -62,12 +62,12 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return pii.find(docs, pii.learn(docs, table(spark, d, "person_words")))
+    return pii.find(docs, pii.learned(docs, table(spark, d, "person_words")))
 
 
 def p9_redacted(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return pii.redact(docs, pii.learn(docs, table(spark, d, "person_words")))
+    return pii.redact(docs, pii.learned(docs, table(spark, d, "person_words")))
 
 
 QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
