@@ -81,12 +81,37 @@ AND regexp_full_match(f[7], '[0-9]+(\.[0-9]+)?') AND TRY_CAST(f[7] AS DOUBLE) <=
 """
 
 
+_TANDEM_RULES = {
+    "start after end": f"{_N('f[5]')} <= {_N('f[6]')}", "end after readLen": f"{_N('f[6]')} <= {_N('f[4]')}",
+    "subPos not rising": f"[{_N('x')} FOR x IN string_split(f[10], ',')] = list_sort(list_distinct([{_N('x')} FOR x IN string_split(f[10], ',')]))",
+    "subPos not from start": f"""{_N("string_split(f[10], ',')[1]")} = {_N('f[5]')}""", "subPos after end": f"""{_N("string_split(f[10], ',')[-1]")} <= {_N('f[6]')}""",
+    "consLen is not the length": f"{_N('f[7]')} = length(f[11])",
+}
+_OVERVIEW_RULES = {"segment_count is not the number of regions": f"{_N('f[3]')} = len(regexp_extract_all(f[1], '[;,]')) + 1"}
+
+
 def _typed(layout: parse_errors.Layout, ok: str) -> str:
     columns = ", ".join(f'TRY_CAST(f[{i}] AS {"VARCHAR" if t == "string" else t}) AS "{n}"' for i, (n, t, _) in enumerate(layout.columns, 1))
     beyond = ", ".join(f"CASE WHEN TRY_CAST(f[{i}] AS {t}) IS NULL THEN '{n}' END" for i, (n, t, _) in enumerate(layout.columns, 1) if t != "string")
     return f"SELECT line_id, {columns}, concat_ws(',', {beyond}) AS beyond FROM ({_CELLS.format(t=layout.name)}) WHERE coalesce({ok}, FALSE)"
 
 
+_CHECKED = {  # the checks of single cells, for a cell {v}
+    "whole": "regexp_full_match({v}, '[0-9]+')", "whole from 1": "regexp_full_match({v}, '0*[1-9][0-9]*')", "decimal above 0": r"regexp_full_match({v}, '[0-9]+(\.[0-9]+)?') AND regexp_matches({v}, '[1-9]')",
+    "decimal to 100": r"regexp_full_match({v}, '0*([0-9][0-9]?(\.[0-9]+)?|100(\.0+)?)')", "decimal to 1": r"regexp_full_match({v}, '0+(\.[0-9]+)?|0*1(\.0+)?')", "text": r"regexp_matches({v}, '[^\s\pZ]')",
+    "three parts": r"regexp_full_match({v}, '[^/\s\pZ]+/[^/\s\pZ]+/[^/\s\pZ]+')", "whole list": "regexp_full_match({v}, '[0-9]+(,[0-9]+)*')", "bases": "regexp_full_match({v}, '[ACGTNacgtn]+')", "regions": "",
+}
+
+
+def _reasons(layout: parse_errors.Layout, across: dict[str, str]) -> str:
+    checked = _CHECKED | {"regions": f"regexp_full_match({{v}}, ' *{_REGION} *([;,] *{_REGION} *)*')"}
+    cells = ", ".join(f"CASE WHEN contains(f[{i}], '\"') THEN '{n}: quoting' WHEN NOT ({checked[c].replace('{v}', f'f[{i}]')}) THEN '{n}: not {c}' END" for i, (n, _, c) in enumerate(layout.columns, 1))
+    rules = ", ".join(f"CASE WHEN NOT ({holds}) THEN '{why}' END" for why, holds in across.items())
+    return f"""
+SELECT '{layout.name}' AS src, unnest(CASE WHEN coalesce(len(f), 0) = 0 OR (len(f) = 1 AND f[1] = '') THEN ['empty line'] WHEN len(f) <> {len(layout.columns)} THEN ['field count'] WHEN len(c) > 0 THEN c ELSE [x FOR x IN [{rules}] IF x IS NOT NULL] END) AS reason
+FROM (SELECT *, [x FOR x IN [{cells}] IF x IS NOT NULL] AS c FROM ({_CELLS.format(t=layout.name)}))"""
+
+
 _CHR = r"'chr' || regexp_replace(upper(regexp_replace(chr, '^\s+|\s+$', '', 'g')), '^CHR\s*', '')"
 
 SQL = {
@@ -94,6 +119,7 @@ SQL = {
 SELECT 'tandem_raw' AS src, line_id FROM ({_CELLS.format(t='tandem_raw')}) WHERE NOT coalesce({_TANDEM_OK}, FALSE)
 UNION ALL
 SELECT 'overview_raw', line_id FROM ({_CELLS.format(t='overview_raw')}) WHERE NOT coalesce({_OVERVIEW_OK}, FALSE)""",
+    "p1_reasons": f"SELECT src, reason, count(*) AS lines FROM ({_reasons(parse_errors.TANDEM, _TANDEM_RULES)} UNION ALL {_reasons(parse_errors.OVERVIEW, _OVERVIEW_RULES)}) GROUP BY src, reason",
     "p1_tandem_records": _typed(parse_errors.TANDEM, _TANDEM_OK),
     "p1_overview_records": _typed(parse_errors.OVERVIEW, _OVERVIEW_OK),
     "p5_found": f"""

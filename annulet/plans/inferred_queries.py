@@ -92,8 +92,10 @@ def j13_chimeric_part(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j14_chimeric_exact(spark: SparkSession, d: str) -> DataFrame:
+    """Circles and those of a second caller, which puts every other circle one base further, by their region strings."""
     rows = segments(spark, d)
-    return unify.redundant("exact", rows, rows)
+    other = rows.withColumns({"start0": F.col("start0") + F.col("id") % 2, "id": F.col("id") + 1_000_000_000})
+    return unify.redundant("exact", rows, other)
 
 
 def j15_chimeric_unstranded(spark: SparkSession, d: str) -> DataFrame:
@@ -191,7 +193,7 @@ SQL = {
       QUALIFY row_number() OVER (PARTITION BY rec_id ORDER BY kind, s, match) = 1""",
     "j12_chimeric_equal": f"WITH {_SEGPAIRS} SELECT id, min(match) AS match FROM full_m WHERE match < id GROUP BY id",
     "j13_chimeric_part": f"WITH {_SEGPAIRS} SELECT id, min(match) AS match FROM part GROUP BY id",
-    "j14_chimeric_exact": f"WITH {CHIMERIC_SQL}, r AS (SELECT id, string_agg(chr || ':' || start0 || '-' || end0, ';' ORDER BY seg) AS regions FROM seg GROUP BY id) SELECT a.id, min(b.id) AS match FROM r a JOIN r b ON a.regions = b.regions AND a.id <> b.id GROUP BY a.id",
+    "j14_chimeric_exact": f"WITH {CHIMERIC_SQL}, r AS (SELECT id, id % 2 AS off, string_agg(chr || ':' || start0 || '-' || end0, ';' ORDER BY seg) AS regions, string_agg(chr || ':' || (start0 + id % 2) || '-' || end0, ';' ORDER BY seg) AS other FROM seg GROUP BY id) SELECT a.id, min(b.id) + 1000000000 AS match FROM r a JOIN r b ON a.regions = b.other GROUP BY a.id",
     "j15_chimeric_unstranded": f"WITH {_SEGPAIRS}, u AS (SELECT id, match FROM pairs WHERE n = m GROUP BY id, match, n, (j - i + n) % n HAVING count(DISTINCT i) = n) SELECT id, min(match) AS match FROM u WHERE match < id GROUP BY id",
     "q9_chimeric_kept": f"""WITH {_SEGPAIRS} SELECT id, string_agg(chr || ':' || start0 || '-' || end0, ';' ORDER BY seg) AS regions, string_agg(strand, ';' ORDER BY seg) AS strands, max(segs) AS seg_total, max(length) AS length,
       max(num_split_reads) AS hit_count, CASE WHEN max(copy_number) > 0 THEN CAST(max(copy_number) AS DOUBLE) ELSE 1.0 END AS copy_number FROM seg WHERE id NOT IN (SELECT id FROM gone) GROUP BY id""",

@@ -71,11 +71,11 @@ def j20_window_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def x20_reciprocal_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of circles of different samples that describe the same place."""
+    """Circles and those of a second caller, whose ends lie up to 44 and 36 bases off, that describe the same place."""
     rows = simple_circles(spark, d).where("sample is not null")
-    a = rows.select("chr", F.col("id").alias("id_a"), F.col("sample").alias("sa"), F.col("start0").alias("s1"), F.col("end0").alias("e1"))
-    b = rows.select("chr", F.col("id").alias("id_b"), F.col("sample").alias("sb"), F.col("start0").alias("s2"), F.col("end0").alias("e2"))
-    return I.reciprocal_join(a, b, ["chr"], ("s1", "e1"), ("s2", "e2")).where("id_a < id_b and sa <> sb").select("id_a", "id_b")
+    a = rows.select("chr", F.col("id").alias("id_a"), F.col("start0").alias("s1"), F.col("end0").alias("e1"))
+    b = rows.select("chr", F.col("id").alias("id_b"), (F.col("start0") + F.col("id") % 45).alias("s2"), (F.col("end0") + F.col("id") % 37).alias("e2")).where("s2 < e2")
+    return I.reciprocal_join(a, b, ["chr"], ("s1", "e1"), ("s2", "e2")).select("id_a", "id_b")
 
 
 def a43_best_per_component(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +114,8 @@ SQL = {
     "j18_region_by_depth": f"""WITH {SIMPLE_SQL}, {_DEPTH}, {_BYS}, {_REGIONS} SELECT r.sample, r.chr, lo, hi, start0, end0, depth, least(end0, hi) - greatest(start0, lo) AS overlap
       FROM regions r JOIN bg ON bg.sample = r.sample AND bg.chr = r.chr AND start0 < hi AND lo < end0""",
     "j20_window_counts": f"""WITH {SIMPLE_SQL} SELECT a.id, count(b.id) AS windows FROM iv a LEFT JOIN iv b ON a.sample = b.sample AND a.chr = b.chr AND b.start0 < a.end0 AND a.start0 < b.start0 + 50 WHERE a.sample IS NOT NULL GROUP BY a.id""",
-    "x20_reciprocal_pairs": f"""WITH {SIMPLE_SQL} SELECT a.id AS id_a, b.id AS id_b FROM iv a JOIN iv b ON a.chr = b.chr AND a.id < b.id AND a.sample <> b.sample AND a.start0 < b.end0 AND b.start0 < a.end0
+    "x20_reciprocal_pairs": f"""WITH {SIMPLE_SQL}, a AS (SELECT * FROM iv WHERE sample IS NOT NULL), b AS (SELECT id, chr, start0 + id % 45 AS start0, end0 + id % 37 AS end0 FROM a WHERE start0 + id % 45 < end0 + id % 37)
+      SELECT a.id AS id_a, b.id AS id_b FROM a JOIN b ON a.chr = b.chr AND a.start0 < b.end0 AND b.start0 < a.end0
       AND ((abs(a.start0 - b.start0) <= 20 AND abs(a.end0 - b.end0) <= 20) OR ((least(a.end0, b.end0) - greatest(a.start0, b.start0)) / (a.end0 - a.start0) >= 0.99 AND (least(a.end0, b.end0) - greatest(a.start0, b.start0)) / (b.end0 - b.start0) >= 0.99))""",
     "a43_best_per_component": f"WITH {SIMPLE_SQL}, {_islands('chr')} SELECT chr, arg_max(id, CAST(num_split_reads AS DOUBLE) * 1e12 - id) AS id FROM numbered GROUP BY chr, island",
 }

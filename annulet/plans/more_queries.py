@@ -96,8 +96,11 @@ def f20_known_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f22_partly_overlapping(spark: SparkSession, d: str) -> DataFrame:
-    """Circles with two segments on a chromosome and strand that overlap only in part."""
+    """Circles with two segments on a chromosome and strand that overlap only in part; every third has its first one again, half its length further."""
     rows = Q.segments(spark, d)
+    half = F.floor((F.col("end0") - F.col("start0")) / 2)
+    again = rows.where("id % 3 = 0 and seg = 0").withColumns({"start0": F.col("start0") + half, "end0": F.col("end0") + half, "seg": F.col("segs")})
+    rows = rows.unionByName(again)
     a = rows.select("id", "chr", "strand", F.col("seg").alias("i"), F.col("start0").alias("s1"), F.col("end0").alias("e1"))
     b = rows.select("id", "chr", "strand", F.col("seg").alias("j"), F.col("start0").alias("s2"), F.col("end0").alias("e2"))
     pairs = I.overlap_join(a, b, ["id", "chr", "strand"], ("s1", "e1"), ("s2", "e2")).where("i < j")
@@ -217,7 +220,8 @@ SQL = {
     "f10_supported_edges": f"WITH {_C}, l AS (SELECT chr AS src, lead(chr) OVER (PARTITION BY id ORDER BY seg) AS dst FROM seg) SELECT src, dst, count(*) AS n FROM l WHERE dst IS NOT NULL GROUP BY src, dst HAVING count(*) >= 2",
     "f19_standard_schema": f"SELECT rec_id, readName AS reads, repN AS repeat_id, {fixed_sql('copyNum', 2)} AS copy_number, readLen AS read_length, consLen AS length, start - 1 AS start0, \"end\" AS end0 FROM {_T}",
     "f20_known_ids": f"WITH {Q._SEGPAIRS} SELECT id, seg FROM seg WHERE id NOT IN (SELECT id FROM gone)",
-    "f22_partly_overlapping": f"""WITH {_C} SELECT DISTINCT a.id FROM seg a JOIN seg b ON a.id = b.id AND a.chr = b.chr AND a.strand = b.strand AND a.seg < b.seg AND least(a.end0, b.end0) > greatest(a.start0, b.start0)
+    "f22_partly_overlapping": f"""WITH {_C}, twice AS (SELECT id, seg, chr, strand, start0, end0 FROM seg UNION ALL SELECT id, segs, chr, strand, start0 + (end0 - start0) // 2, end0 + (end0 - start0) // 2 FROM seg WHERE id % 3 = 0 AND seg = 0)
+      SELECT DISTINCT a.id FROM twice a JOIN twice b ON a.id = b.id AND a.chr = b.chr AND a.strand = b.strand AND a.seg < b.seg AND least(a.end0, b.end0) > greatest(a.start0, b.start0)
       WHERE NOT (least(a.end0, b.end0) - greatest(a.start0, b.start0) >= 0.95 * (a.end0 - a.start0) AND least(a.end0, b.end0) - greatest(a.start0, b.start0) >= 0.95 * (b.end0 - b.start0))""",
     "w3_group_sizes": f"WITH {K._CORE} SELECT rec_id, count(*) OVER (PARTITION BY cluster) AS hit_count FROM core",
     "t2_first_of_each": f"SELECT readName, rec_id FROM {_T} QUALIFY row_number() OVER (PARTITION BY readName ORDER BY start, rec_id) = 1",

@@ -200,6 +200,11 @@ SQL = {
       k AS (SELECT rec_id, min(k) AS k FROM t GROUP BY rec_id) SELECT rec_id, 'U' || dense_rank() OVER (ORDER BY k) AS eccDNA_id FROM k WHERE k <> ''""",
     "j3_sequence_lookup": f"""WITH {alignment_queries._PREP}, {_LIB}, base AS (SELECT string_split(id, '|')[1] AS base, arg_min(seq, id || seq) AS seq FROM lib GROUP BY 1)
       SELECT aln_id, length(coalesce(lib.seq, base.seq)) AS letters FROM prep LEFT JOIN lib ON lib.id = query_id LEFT JOIN base ON base.base = read""",
+    "x24_ring_sequences": f"""WITH {alignment_queries._PREP}, {_LIB}, base AS (SELECT string_split(id, '|')[1] AS base, arg_min(seq, id || seq) AS seq FROM lib GROUP BY 1),
+      r AS (SELECT aln_id, q_start, size, coalesce(lib.seq, base.seq) AS seq FROM prep LEFT JOIN lib ON lib.id = query_id LEFT JOIN base ON base.base = read),
+      c AS (SELECT aln_id, upper(trim(CASE WHEN length(seq) > 0 AND q_start > 0 AND size > 0 THEN substr(seq || seq, CAST(1 + (q_start - 1) % length(seq) AS BIGINT), CAST(least(size, length(seq)) AS BIGINT)) ELSE '' END)) AS ring FROM r),
+      d AS (SELECT DISTINCT ring FROM c WHERE ring <> ''), t AS (SELECT ring, {_TURN} AS k FROM (SELECT ring, ring AS s FROM d) UNION ALL SELECT ring, {_TURN} FROM (SELECT ring, {_RC.replace('(s,', '(ring,').replace('translate(s', 'translate(ring')} AS s FROM d)),
+      k AS (SELECT ring, min(k) AS k FROM t GROUP BY ring) SELECT aln_id, coalesce(k.k, '') AS ring_key FROM c LEFT JOIN k USING (ring)""",
     "u1_union": f"""WITH {cluster_queries._CORE}, {interval_queries.SIMPLE_SQL} SELECT rec_id AS id, state, chr, length, coalesce(mapq_best < 20, FALSE) AS low_mapq FROM core WHERE state = 'Confirmed'
       UNION ALL SELECT id, 'Inferred', chr, end0 - start0, FALSE FROM iv""",
     "u3_unaligned_reads": f"SELECT DISTINCT readName FROM {once_sql('tandem')} WHERE readName NOT IN (SELECT string_split(query_id, '|')[1] FROM {once_sql('alignments')} WHERE query_id IS NOT NULL)",
