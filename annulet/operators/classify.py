@@ -71,9 +71,9 @@ def identity_passes(identity, length, least: float = 99.0, decay: float = 0.5, f
 
 
 def zero_based(hq: DataFrame) -> Column:
-    """One value for the table, worked out at once: whether query ends look half-open from 0 rather than closed from 1."""
+    """One value for the table, a subquery: whether query ends look half-open from 0 rather than closed from 1."""
     off = lambda n: F.median(F.abs(F.abs(F.col("q_end") - F.col("q_start") + n) - F.col("alignment_length")))
-    return F.lit(hq.agg(F.coalesce(off(0) + 1e-6 < off(1), F.lit(False))).first()[0])
+    return hq.agg(F.coalesce(off(0) + 1e-6 < off(1), F.lit(False))).scalar()
 
 
 def linked(starts: np.ndarray, ends: np.ndarray, pos_tol: int, theta: float) -> np.ndarray:

@@ -1,32 +1,16 @@
 """Predictions against ground truth: greedy one-to-one matching, coverage matching, and the measures of both.
 
-A greedy choice depends only on predictions that compete for the same truth, so matching runs per connected component
-of the candidates, in the order of the predictions; nothing is compared that shares neither a read nor a place.
+The greedy matching runs in rounds over the whole table of candidates; nothing is compared that shares neither a read
+nor a place.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annulet.operators import intervals as I
-from annulet.operators.graph import components
-
-
-def choose(edges: list) -> list[tuple[int, int]]:
-    """(pred, truth) pairs: predictions in turn take, of the truths still free, the first on their read, else the first with both ends near, else the one that shares most."""
-    taken, out = set(), []
-    by_pred: dict[int, list] = {}
-    for e in edges:
-        by_pred.setdefault(e["pred"], []).append(e)
-    for pred in sorted(by_pred):
-        free = sorted((e for e in by_pred[pred] if e["truth"] not in taken), key=lambda e: e["truth"])
-        best = next((e for e in free if e["kind"] == 0), None) or next((e for e in free if e["kind"] == 1), None) or max(free, key=lambda e: (e["score"], -e["truth"]), default=None)
-        if best is not None:
-            taken.add(best["truth"])
-            out.append((pred, best["truth"]))
-    return out
+from annulet.session import cut
 
 
 def candidates(preds: DataFrame, truths: DataFrame, keys: list[str], tolerance: int = 50, share: float = 0.8) -> DataFrame:
@@ -43,18 +27,25 @@ def candidates(preds: DataFrame, truths: DataFrame, keys: list[str], tolerance:
     return reads.unionByName(places)
 
 
-def greedy(edges: DataFrame) -> DataFrame:
-    """pred, truth of the greedy one-to-one matching."""
-    ends = edges.select((F.col("pred") * 2).alias("src"), (F.col("truth") * 2 + 1).alias("dst"), "pred", "truth", "kind", "score")
-    nodes = ends.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    placed = ends.join(components(nodes, ends.select("src", "dst")).withColumnRenamed("node", "src"), "src")
-
-    @F.pandas_udf("array<struct<pred:bigint,truth:bigint>>")
-    def match(groups: pd.Series) -> pd.Series:
-        return pd.Series([[{"pred": p, "truth": t} for p, t in choose(list(g))] for g in groups])
-
-    groups = placed.groupBy("component").agg(F.collect_list(F.struct("pred", "truth", "kind", "score")).alias("e"))
-    return groups.select(F.explode(match("e")).alias("m")).select("m.pred", "m.truth")
+def greedy(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
+    """pred, truth: predictions in turn take, of the truths still free, the first on their read, else the first with both ends near, else the one that shares most.
+
+    A prediction's choice is final once no earlier one that is still open could take the same truth. All such
+    predictions choose at once, then go, with their truths; so no group of predictions is ever in one task, and the
+    number of rounds is the longest chain of predictions that wait for each other, each with a smaller number.
+    """
+    prefer = F.struct("kind", F.when(F.col("kind") == 2, -F.col("score")).otherwise(0).alias("less"), "truth")
+    left = cut(edges.groupBy("pred", "truth").agg(F.min(prefer).alias("p")))
+    found = left.select("pred", "truth").limit(0)
+    for _ in range(most_rounds):
+        best = left.groupBy("pred").agg(F.min("p").alias("p")).select("pred", F.col("p.truth").alias("truth"))
+        first = left.groupBy("truth").agg(F.min("pred").alias("pred"))
+        done = cut(best.join(first, ["pred", "truth"]))
+        if done.isEmpty():  # only if nothing is left: the first open prediction never waits
+            return found
+        found = found.unionByName(done)
+        left = cut(left.join(done.select("pred"), "pred", "left_anti").join(done.select("truth"), "truth", "left_anti"))
+    raise RuntimeError(f"predictions wait for each other over more than {most_rounds} rounds")
 
 
 def coverage_candidates(preds: DataFrame, truths: DataFrame, keys: list[str], threshold: float, both: bool = True) -> DataFrame:

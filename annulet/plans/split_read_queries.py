@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annulet.operators import split_reads as R
 from annulet.plans.base import once, once_sql
+from annulet.session import cut
 
 
 def hits(spark: SparkSession, d: str, mapq: int = 30) -> DataFrame:
@@ -32,13 +33,13 @@ def g9_tandem_reads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j19_region_hits(spark: SparkSession, d: str) -> DataFrame:
-    rows = R.trim(hits(spark, d))
-    return R.annotated(rows, R.regions(rows, 1.0, 200)).select("mergeid", "hit", "n5", "n3", "overlap")
+    rows = cut(R.trim(hits(spark, d)))
+    return R.annotated(rows, cut(R.regions(rows, 1.0, 200))).select("mergeid", "hit", "n5", "n3", "overlap")
 
 
 def a31_breakpoint_edges(spark: SparkSession, d: str) -> DataFrame:
-    rows = R.trim(hits(spark, d))
-    return R.breakpoint_edges(R.annotated(rows, R.regions(rows, 1.0, 200)), 1)
+    rows = cut(R.trim(hits(spark, d)))
+    return R.breakpoint_edges(R.annotated(rows, cut(R.regions(rows, 1.0, 200))), 1)
 
 
 def q7_split_read_circles(spark: SparkSession, d: str) -> DataFrame:

@@ -14,6 +14,7 @@ from annulet.operators import split_reads as R
 from annulet.plans import inferred_queries
 from annulet.plans.base import fixed, fixed_sql
 from annulet.plans.ring_queries import _BODY, _CONF
+from annulet.session import cut
 
 
 def walks(spark: SparkSession, d: str) -> DataFrame:
@@ -60,8 +61,8 @@ def g10_trimmed_walks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _annotated(spark: SparkSession, d: str) -> DataFrame:
-    rows = R.trim(_hits(spark, d))
-    return R.annotated(rows, R.regions(rows, 1.0, 200))
+    rows = cut(R.trim(_hits(spark, d)))
+    return R.annotated(rows, cut(R.regions(rows, 1.0, 200)))
 
 
 def j19_region_hits_of_walks(spark: SparkSession, d: str) -> DataFrame:
