@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annulet.session import cut
+
 
 def chromosome(name: Column) -> Column:
     """``chr`` and the bare name, whatever the case, blanks or missing ``chr``; null if nothing is left."""
@@ -27,7 +29,8 @@ def active(df: DataFrame, keys: list[str], lo: str, hi: str, tile: int) -> DataF
     ends = ends.where("a is not null and b is not null and a < b").dropna(subset=keys)
     events = ends.select(*keys, F.explode(F.array(F.struct(F.col("a").alias("p"), F.lit(1).alias("d")), F.struct(F.col("b").alias("p"), F.lit(-1).alias("d")))).alias("e"))
     events = events.select(*keys, F.floor(F.col("e.p") / tile).alias("_tile"), F.col("e.p").alias("_pos"), F.col("e.d").alias("_d"))
-    steps = events.groupBy(*keys, "_tile", "_pos").agg(F.sum("_d").alias("_d")).where("_d <> 0")
+    # Written once: what lies in a tile and what all tiles add up to both come from it.
+    steps = cut(events.groupBy(*keys, "_tile", "_pos").agg(F.sum("_d").alias("_d")).where("_d <> 0"))
     before = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
     tiles = steps.groupBy(*keys, "_tile").agg(F.sum("_d").alias("_net"))
     tiles = tiles.select(*keys, "_tile", F.coalesce(F.sum("_net").over(before), F.lit(0)).alias("_base"))
@@ -38,6 +41,7 @@ def active(df: DataFrame, keys: list[str], lo: str, hi: str, tile: int) -> DataF
 def followed(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``_to``, the position of the next row of the key; that of a tile's last row is the first of the next tile that has any."""
     group = Window.partitionBy(*keys).orderBy("_tile")
+    rows = cut(rows)
     first = rows.groupBy(*keys, "_tile").agg(F.min("_pos").alias("_first"))
     first = first.select(*keys, "_tile", F.lead("_first").over(group).alias("_after"))
     inside = Window.partitionBy(*keys, "_tile").orderBy("_pos")
