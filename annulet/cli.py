@@ -35,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--debug", action="store_true")
     r.add_argument("--force", action="store_true", help="with --debug: make everything again")
     r.add_argument("--stop-at", help="with --debug: last stage to run")
+    r.add_argument("--reference", help="FASTA of the genome; with it the package has sequences")
+    r.add_argument("--id-width", type=int, default=4, help="digits of the numbers in the package")
     r.add_argument("--on-change", choices=("reset", "continue", "fail"), default="reset")
     c = sub.add_parser("init-config", help="write the default parameters")
     c.add_argument("path")
@@ -60,20 +62,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:  # noqa: ANN001
             C.save(C.Config(), args.path)
             return OK
         if args.command == "show-checkpoint":
-            with open(os.path.join(args.output, "manifest.json"), encoding="utf-8") as f:
-                print(f.read())
+            from annulet.session import session
+            from annulet.sources import storage
+
+            spark, manifest = spark or session(), os.path.join(args.output, "manifest.json")
+            if not storage.exists(spark, manifest):
+                raise FileNotFoundError(manifest)
+            print(storage.read_text(spark, manifest))
             return OK
         if (args.force or args.stop_at) and not args.debug:
             print("--force and --stop-at need --debug", file=sys.stderr)
             return USAGE
         from annulet.plans import base, pipeline
-        from annulet.session import local_session
+        from annulet.session import session
 
         conf = C.load(args.config) if args.config else C.Config()
         conf = conf.with_preset(args.preset) if args.preset else conf
         if args.prefix:
             conf = C.from_dict({"prefix": args.prefix} | {k: v for k, v in C.dataclasses.asdict(conf).items() if k != "prefix"})
-        spark = spark or local_session()
+        spark = spark or session()
         stages = pipeline.in_order(pipeline.standard(), {"tandem", "alignments"})
         names = [s.name for s in stages]
         if args.stop_at:
@@ -82,7 +89,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:  # noqa: ANN001
                 return USAGE
             names = names[: names.index(args.stop_at) + 1]
         inputs = {n: base.once(spark, args.tables, n) for n in ("tandem", "alignments")}
-        pipeline.run(spark, stages, inputs, args.output, conf.check(), args.on_change, args.force, set(names))
+        done = pipeline.run(spark, stages, inputs, args.output, conf.check(), args.on_change, args.force, set(names))
+        if not args.stop_at:
+            from annulet.plans import deliverable
+            from annulet.sources import text
+
+            reference = text.chunked(text.fasta(spark, args.reference)) if args.reference else None
+            deliverable.write(spark, done["unified"], f"{args.output}/package", conf.prefix, done["read_classes"], reference, args.id_width)
         return OK
     except KeyboardInterrupt:
         return INTERRUPTED

@@ -35,24 +35,24 @@ def genome(spark: SparkSession, chromosomes: int, length: int, seed: int, chunk:
     return grid.mapInArrow(run, "chr string, start0 bigint, seq string")
 
 
-def mutated(seq: Column, rate: float, seed: int) -> Column:
-    """Each base replaced by another one with this probability; the same for the same sequence and seed."""
+def mutated(seq: Column, rate: float, seed: int, key: Column | None = None) -> Column:
+    """Each base replaced by another one with this probability; the same for the same key (without one, the same sequence) and seed."""
 
     @F.pandas_udf("string")
-    def change(s: pd.Series) -> pd.Series:
+    def change(s: pd.Series, keys: pd.Series) -> pd.Series:
         out = []
-        for text in s:
+        for text, drawn in zip(s, keys):
             if not text:
                 out.append(text)
                 continue
             raw = np.frombuffer(text.encode(), np.uint8).copy()
-            rng = np.random.default_rng([seed, len(raw), int(raw.astype(np.uint64).sum())])
+            rng = np.random.default_rng([seed, drawn & (1 << 64) - 1])
             hit = np.flatnonzero(rng.random(len(raw)) < rate)
             raw[hit] = BASES[(np.searchsorted(BASES, raw[hit]) + rng.integers(1, 4, hit.size)) % 4]
             out.append(raw.tobytes().decode())
         return pd.Series(out)
 
-    return change(seq)
+    return change(seq, F.xxhash64(seq if key is None else key))
 
 
 def truth(spark: SparkSession, n: int, seed: int, chromosomes: int = 3, length: int = 20_000_000, copies: int = 2) -> DataFrame:

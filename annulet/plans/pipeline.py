@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from annulet.functions import scalars as S
 from annulet.operators import chimeric, classify, curate, split_reads, tandem, unify
 from annulet.plans.config import Config
+from annulet.sources import storage
 from annulet.sources.sinks import write_json
 
 
@@ -53,9 +54,8 @@ def run(spark: SparkSession, stages: list[Stage], inputs: dict[str, DataFrame],
     """All stages' results by name; ``on_change``: 'reset', 'continue' or 'fail' when the parameters differ from those of the folder."""
     manifest = os.path.join(folder, "manifest.json")
     state = {"version": 1, "config": config.fingerprint(), "done": {}}
-    if os.path.exists(manifest):
-        with open(manifest, encoding="utf-8") as f:
-            held = json.load(f)
+    if storage.exists(spark, manifest):
+        held = json.loads(storage.read_text(spark, manifest))
         if held.get("config") == state["config"] or on_change == "continue":
             state["done"] = held.get("done", {})
         elif on_change == "fail":
@@ -75,7 +75,7 @@ def run(spark: SparkSession, stages: list[Stage], inputs: dict[str, DataFrame],
             result.write.mode("overwrite").parquet(path)
             fresh.add(stage.name)
             state["done"][stage.name] = {"seconds": round(time.time() - began, 3)}
-            write_json(state, manifest)
+            write_json(spark, state, manifest)
         frames[stage.name] = spark.read.parquet(path)
     return {n: f for n, f in frames.items() if n not in inputs}
 

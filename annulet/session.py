@@ -17,6 +17,7 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "8g") -> Spa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -24,6 +25,12 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "8g") -> Spa
     return spark
 
 
+def session() -> SparkSession:
+    """The launcher's session, if there is one (spark-submit, a notebook, a remote), with its own master and settings; else a local one."""
+    launched = SparkSession.getActiveSession() is not None or any(x in os.environ for x in ("PYSPARK_GATEWAY_PORT", "SPARK_REMOTE"))
+    return SparkSession.builder.getOrCreate() if launched else local_session()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
@@ -43,7 +50,11 @@ def _checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, without its lineage."""
+    """``df`` written to the shared checkpoint folder, without its lineage.
+
+    Set ``spark.cleaner.referenceTracking.cleanCheckpoints`` when the session is made, so that what is no longer
+    referred to is removed.
+    """
     _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

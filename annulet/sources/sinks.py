@@ -6,11 +6,12 @@ An empty result still has its header.
 from __future__ import annotations
 
 import json
-import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annulet.sources import storage
+
 
 def fasta_record(title: Column, seq: Column, width: int = 60) -> Column:
     """``>title`` and the sequence in lines of this width (0: one line); ``N`` where there is none."""
@@ -30,12 +31,12 @@ def title_chimeric(id: Column, segments: Column, chromosomes: Column, length: Co
     return F.concat(id, F.lit("|segments:"), segments.cast("string"), F.lit("|junctions:"), F.array_join(chromosomes, "-"), F.lit("|length="), length.cast("string"))
 
 
-def write_fasta(df: DataFrame, path: str, title: Column | None = None, width: int = 60) -> None:
+def write_fasta(df: DataFrame, path: str, title: Column | None = None, width: int = 60, append: bool = False) -> None:
     """From (id, seq)."""
-    df.select(fasta_record(F.col("id") if title is None else title, F.col("seq"), width).alias("value")).write.mode("overwrite").text(path)
+    df.select(fasta_record(F.col("id") if title is None else title, F.col("seq"), width).alias("value")).write.mode("append" if append else "overwrite").text(path)
 
 
-def write_table(df: DataFrame, path: str, sep: str = ",", header: bool = True, single: bool = True) -> None:
+def write_table(df: DataFrame, path: str, sep: str = ",", header: bool = True, single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, sep=sep, header=header, emptyValue="")
 
 
@@ -44,12 +45,9 @@ def write_bed(df: DataFrame, path: str, single: bool = False) -> None:
     write_table(df, path, sep="\t", header=False, single=single)
 
 
-def write_json(stats: dict, path: str) -> None:
-    """A small report of the driver, replaced in one step."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(f"{path}.new", "w", encoding="utf-8") as f:
-        json.dump(stats, f, indent=2, sort_keys=True, default=str)
-    os.replace(f"{path}.new", path)
+def write_json(spark: SparkSession, stats: dict, path: str) -> None:
+    """A small report of the driver, in any file system."""
+    storage.write_text(spark, json.dumps(stats, indent=2, sort_keys=True, default=str), path)
 
 
 def text_report(title: str, sections: dict[str, dict[str, object]]) -> str:

@@ -9,12 +9,15 @@ from __future__ import annotations
 import csv
 import gzip
 import itertools
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annulet.functions import scalars as S
 from annulet.operators import alignment_text
+from annulet.sources import sinks
 
 # Columns of the headerless tables.
 TANDEM = "readName string, repN string, copyNum double, readLen bigint, start bigint, end bigint, consLen bigint, aveMatch double, fullLen bigint, subPos string, consSeq string"
@@ -22,6 +25,10 @@ ALIGNMENT = "query_id string, subject_id string, identity double, alignment_leng
 
 
 def head(path: str, n: int = 1 << 16) -> bytes:
+    """The beginning of a file, unzipped; of one in another file system its first lines, read by Spark."""
+    if "://" in path:
+        rows = SparkSession.getActiveSession().read.text(path).limit(200).collect()
+        return "\n".join(r["value"] for r in rows).encode()[:n]
     with open(path, "rb") as f:
         start = f.read(2)
     with gzip.open(path, "rb") if start == b"\x1f\x8b" else open(path, "rb") as f:
@@ -47,7 +54,7 @@ def delimiter(path: str) -> str:
         return "\t" if "\t" in line else ","
 
 
-def fasta(spark: SparkSession, path: str) -> DataFrame:
+def fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """id (first word), description, seq; blank lines and carriage returns are dropped, records without an id are left out."""
     # A record ends where a line begins with the mark; the first one of a file still has it in front.
     raw = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", r"\A\s*>?|\r", "").alias("r"))
@@ -68,11 +75,10 @@ def tandem(spark: SparkSession, path: str) -> DataFrame:
 
 
 def alignments(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment rows of 13 or 14 fields (mapq null where it is missing); lines of another width raise an error."""
-    lines = spark.read.text(path).where("value <> ''").withColumn("f", F.split("value", "\t"))
-    wrong = lines.where("size(f) not in (13, 14)").limit(1).collect()
-    if wrong:
-        raise ValueError(f"an alignment line has {len(wrong[0]['f'])} fields, not 13 or 14")
+    """Alignment rows of 13 or 14 fields (mapq null where it is missing); a line of another width ends the query that reads it with an error."""
+    wrong = F.raise_error(F.concat(F.lit("an alignment line has "), F.size("f").cast("string"), F.lit(" fields, not 13 or 14")))
+    lines = spark.read.text(path).where("value <> ''").select(F.split("value", "\t").alias("f"))
+    lines = lines.select(F.when(F.size("f").isin(13, 14), F.col("f")).otherwise(wrong).alias("f"))
     columns = [c.split() for c in ALIGNMENT.split(", ")]
     return lines.select(*(F.get("f", F.lit(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(columns)))
 
@@ -156,8 +162,55 @@ def require_width(path: str, least: int = 12, lines: int = 1000) -> None:
         raise ValueError("\n".join([f"too few fields in {path}:", *bad[:5], *more]))
 
 
-def from_reference(reference: DataFrame, segments: DataFrame) -> DataFrame:
-    """id, seq: the joined sequences of segments (id, seg, chr, start0, end0) fetched from chromosomes (id, seq); minus segments as they stand."""
-    cut = F.substring("seq", (F.col("start0") + 1).cast("int"), (F.col("end0") - F.col("start0")).cast("int"))
-    rows = segments.join(reference.select(F.col("id").alias("chr"), "seq"), "chr").select("id", "seg", cut.alias("part"))
-    return rows.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "part"))), lambda x: x["part"]), "").alias("seq"))
+CHUNK = 1 << 20  # bases of a chunk of the reference
+
+
+def chunked(records: DataFrame, size: int = CHUNK) -> DataFrame:
+    """chr, start0, seq: chromosomes (id, seq) cut into pieces of ``size`` bases, so that no later row is longer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for at in range(0, len(seq), size):
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int64()), pa.array([seq[at : at + size]])], ["chr", "start0", "seq"])
+
+    return records.where("id is not null and seq is not null").select("id", "seq").mapInArrow(run, "chr string, start0 bigint, seq string")
+
+
+def from_reference(chunks: DataFrame, segments: DataFrame, size: int = CHUNK) -> DataFrame:
+    """id, seq: the joined sequences of segments (id, seg, chr, start0, end0) from chunks (chr, start0, seq) of ``size`` bases; minus segments as they stand.
+
+    A segment meets only the chunks it touches; what the reference lacks is left out.
+    """
+    tiles = chunks.select("chr", F.floor(F.col("start0") / size).alias("_tile"), F.col("start0").alias("_at"), "seq")
+    rows = segments.where("end0 > start0 and start0 >= 0").withColumn("_tile", F.explode(F.sequence(F.floor(F.col("start0") / size), F.floor((F.col("end0") - 1) / size))))
+    first = F.greatest(F.col("start0") - F.col("_at"), F.lit(0))
+    part = F.substring("seq", (first + 1).cast("int"), (F.col("end0") - F.col("_at") - first).cast("int"))
+    rows = rows.join(tiles, ["chr", "_tile"]).select("id", "seg", "_tile", part.alias("part"))
+    return rows.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg", "_tile", "part"))), lambda x: x["part"]), "").alias("seq"))
+
+
+def _titled(records: DataFrame) -> Column:
+    return F.when(F.col("description") != "", F.concat_ws(" ", "id", "description")).otherwise(F.col("id"))
+
+
+def copy_some(spark: SparkSession, path: str, ids: DataFrame, out: str, keep: bool = True, append: bool = False) -> None:
+    """Records whose id, or its part before the first bar, is among ``ids`` (id), or with ``keep`` false is not, written or appended to ``out`` with their titles."""
+    records = with_base(fasta(spark, path))
+    wanted = ids.select(F.col("id").alias("_id")).where("_id is not null").distinct()
+    named = _among(records, wanted, keep)
+    sinks.write_fasta(named, out, _titled(named), append=append)
+
+
+def _among(records: DataFrame, wanted: DataFrame, keep: bool) -> DataFrame:
+    """Two equi-joins: by the whole id and by its base."""
+    mark = lambda c, name: wanted.select(F.col("_id").alias(c), F.lit(True).alias(name))
+    marked = records.join(mark("id", "_a"), "id", "left").join(mark("base", "_b"), "base", "left")
+    here = F.coalesce("_a", "_b", F.lit(False))
+    return marked.where(here if keep else ~here).drop("_a", "_b")
+
+
+def concat(spark: SparkSession, paths: list[str], out: str) -> None:
+    """The records of several files or folders, one after the other; a later record with an id that came before stays."""
+    records = fasta(spark, paths)
+    sinks.write_fasta(records, out, _titled(records))

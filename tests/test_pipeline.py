@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from annulet import cli
 from annulet.operators import simulate
 from annulet.plans import config as C
+from annulet.plans import deliverable
 from annulet.plans import pipeline as P
+from annulet.sources import text
 from annulet.streaming import reads
 
 
@@ -58,11 +60,17 @@ def test_standard_pipeline_from_the_command_line(spark, tmp_path, capsys):
     t = "select 1L rec_id, 'r' readName, 'rep0' repN, 2.0D copyNum, 100L readLen, 1L start, 100L end, 50L consLen, 99.5D aveMatch, 0L fullLen, '1,51' subPos, 'ACGT' consSeq, timestamp'2024-01-01' produced_at, timestamp'2024-01-01' loaded_at"
     spark.sql(t).write.parquet(str(tmp_path / "in/tandem.parquet"))
     out = str(tmp_path / "out")
-    assert cli.main(["run", str(tmp_path / "in"), out, "--prefix", "x"], spark) == cli.OK
+    (tmp_path / "ref.fa").write_text("".join(f">{r['chr']}\n{'ACGT' * 25}\n" for r in truth.select("chr").distinct().collect()))
+    assert cli.main(["run", str(tmp_path / "in"), out, "--prefix", "x", "--reference", str(tmp_path / "ref.fa")], spark) == cli.OK
+    package = tmp_path / "out/package"
+    beds = {p: [x.split("\t") for f in (package / p).glob("part*") for x in f.read_text().splitlines()] for p in ("UeccDNA/x_uecc.bed", "MeccDNA/x_mecc_sites.bed", "CeccDNA/x_cecc_junctions.bedpe")}
+    assert sorted(r[3] for r in beds["UeccDNA/x_uecc.bed"]) == [f"UeccDNA000{i}" for i in range(1, 5)] and len(beds["MeccDNA/x_mecc_sites.bed"]) == 4 and beds["CeccDNA/x_cecc_junctions.bedpe"] == []
+    assert spark.read.csv(str(package / "x_summary"), header=True).count() == 8 and sum(1 for _ in (package / "UeccDNA/x_UeccDNA.fasta").glob("part*"))
+    assert "Uecc Confirmed" in json.loads((package / "x_report.json").read_text())["Circles"] and "Circles" in (package / "x_report.txt").read_text()
     summary = {(r["kind"], r["state"]): r["circles"] for r in spark.read.parquet(f"{out}/summary").collect()}
     assert summary == {("Uecc", "Confirmed"): 4, ("Mecc", "Confirmed"): 4}
-    assert cli.main(["show-checkpoint", out]) == cli.OK and "summary" in json.loads(capsys.readouterr().out)["done"]
-    assert cli.main(["run", "a", "b", "--force"]) == cli.USAGE and cli.main(["nothing"]) == cli.USAGE and cli.main(["show-checkpoint", str(tmp_path / "none")]) == cli.FAILED
+    assert cli.main(["show-checkpoint", out], spark) == cli.OK and "summary" in json.loads(capsys.readouterr().out)["done"]
+    assert cli.main(["run", "a", "b", "--force"]) == cli.USAGE and cli.main(["nothing"]) == cli.USAGE and cli.main(["show-checkpoint", str(tmp_path / "none")], spark) == cli.FAILED
     assert cli.main(["validate"]) == cli.OK and cli.main(["init-config", str(tmp_path / "c.json")]) == cli.OK
 
 
@@ -80,3 +88,18 @@ def test_streams_agree_with_batch(spark, tmp_path):
     seen = []
     reads.each_batch(stream(), lambda df, i: seen.append(df.count()), str(tmp_path / "c4"))
     assert sum(seen) == 200 and len(seen) == 3
+
+
+def test_package_of_circles_of_several_segments(spark, tmp_path):
+    rows = [("q9", "Cecc", "Confirmed", 0, 2, "chr1", 5, 9, "+", 8, 0.5), ("q9", "Cecc", "Confirmed", 1, 2, "chr2", 1, 5, "-", 8, 0.5), ("q10", "Cecc", "Confirmed", 0, 1, "chr2", 0, 3, "+", 3, 0.5), ("I1", "Cecc", "Inferred", 0, 1, "chr1", 1, 4, "+", 3, None)]
+    unified = spark.createDataFrame(rows, "id string, kind string, state string, seg int, segs int, chr string, start0 bigint, end0 bigint, strand string, length bigint, conf double")
+    reference = text.chunked(spark.createDataFrame([("chr1", "AACCGGTTAC"), ("chr2", "TTTGGG")], "id string, seq string"), text.CHUNK)
+    found = deliverable.write(spark, unified, str(tmp_path), "y", None, reference)
+    lines = lambda p: sorted(x for f in (tmp_path / p).glob("part*") for x in f.read_text().splitlines())
+    assert lines("CeccDNA/y_cecc_junctions.bedpe") == ["chr1\t8\t9\tchr2\t1\t2\tCeccDNA0001|seg1->seg2\t0\t+\t-"]
+    assert lines("CeccDNA/y_cecc_segments.bed") == ["chr1\t1\t4\tCeccDNA0003\t0\t+", "chr1\t5\t9\tCeccDNA0001|seg1|head\t0\t+", "chr2\t0\t3\tCeccDNA0002\t0\t+", "chr2\t1\t5\tCeccDNA0001|seg2|tail\t0\t-"]
+    fasta = {r["id"]: r["seq"] for r in text.fasta(spark, str(tmp_path / "CeccDNA/y_CeccDNA.fasta")).collect()}
+    assert fasta == {"CeccDNA0001|chr1:5-9;chr2:1-5|length=8|Confirmed": "GTTATTGG", "CeccDNA0002|chr2:0-3|length=3|Confirmed": "TTT", "CeccDNA0003|chr1:1-4|length=3|Inferred": "ACC"}
+    assert found["Circles"] == {"Cecc Confirmed": "2", "Cecc Inferred": "1"} and found["Lengths of Cecc"]["max"] == 8
+    empty = deliverable.write(spark, unified.limit(0), str(tmp_path / "e"), "y")
+    assert empty == {"Circles": {}} and lines("e/CeccDNA/y_cecc_segments.bed") == []
