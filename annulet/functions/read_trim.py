@@ -15,7 +15,7 @@ NEAR = 50
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, slots=True)
 class Hit:
     q_start: int
     q_end: int
@@ -113,8 +113,7 @@ def merged(hits: list[Hit], gap: int = 10, overlap: int = 10, distance: int = 10
 
 
 def trimmed(hits: list[Hit], gap: int = 10, overlap: int = 10, distance: int = 1000) -> tuple[list[Hit], int, bool]:
-    """Kept hits, the stretch of the read from the first to the last, and whether they are tandem copies."""
-    hits = sorted(hits, key=lambda h: (h.q_start, h.q_end, h.ref, h.r_start, h.strand))
+    """Of hits in query order the kept ones, the stretch of the read from the first to the last, and whether they are tandem copies."""
     if len(hits) > 1:
         order = tokens(hits)
         part = pattern(order)

@@ -7,7 +7,10 @@ are small by nature; coverage, overlap joins, edge counts and components are dis
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,22 +20,50 @@ from annulet.operators.graph import components
 from annulet.session import cut
 
 HIT = ["q_start", "q_end", "ref", "r_start", "r_end", "match", "block", "mapq", "strand"]
-_OUT = "array<struct<q_start:bigint,q_end:bigint,ref:string,r_start:bigint,r_end:bigint,match:bigint,block:bigint,mapq:int,strand:int,trimmed:bigint,freq:string,ord:int,ctc:boolean>>"
+_OUT = "readid string, q_start bigint, q_end bigint, ref string, r_start bigint, r_end bigint, match bigint, block bigint, mapq int, strand int, trimmed bigint, freq string, ord int, ctc boolean"
+ROWS_AT_ONCE = 10_000
 
 
 def trim(hits: DataFrame, gap: int = 10, overlap: int = 10, distance: int = 1000) -> DataFrame:
-    """readid and the kept hits with the trimmed length, their share of it, their order and the tandem flag."""
-
-    @F.pandas_udf(_OUT)
-    def kept(reads: pd.Series) -> pd.Series:
-        out = []
-        for rows in reads:
-            chosen, size, ctc = R.trimmed([R.Hit(*(r[c] for c in HIT)) for r in rows], gap, overlap, distance)
-            out.append([vars(h) | {"trimmed": size, "freq": f"{(h.q_end - h.q_start) / size:.2f}" if size else "0.00", "ord": i, "ctc": ctc} for i, h in enumerate(chosen)])
-        return pd.Series(out)
+    """readid and the kept hits with the trimmed length, their share of it, their order and the tandem flag.
 
-    per_read = hits.groupBy("readid").agg(F.collect_list(F.struct(*HIT)).alias("h"))
-    return per_read.select("readid", F.explode(kept("h")).alias("k")).select("readid", "k.*")
+    Reads come sorted, one hit after the other; a task holds the hits of one read, about 400 bytes each, as the test
+    for tandem copies needs them all.
+    """
+    names = [c.split()[0] for c in _OUT.split(", ")]
+
+    def of_read(name: str, rows: list[R.Hit]) -> Iterator[tuple]:
+        chosen, size, ctc = R.trimmed(rows, gap, overlap, distance)
+        for i, h in enumerate(chosen):
+            yield (name, *(getattr(h, c) for c in HIT), size, f"{(h.q_end - h.q_start) / size:.2f}" if size else "0.00", i, ctc)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+        schema = [kinds[c.split()[1]] for c in _OUT.split(", ")]
+        out: list[tuple] = []
+        name, rows = None, []
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*out)) or [()] * len(names)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema)], names)
+
+        for batch in batches:
+            ids, *columns = (c.to_pylist() for c in batch.columns)
+            for read, hit in zip(ids, map(R.Hit, *columns)):
+                if read != name:
+                    if rows:
+                        out.extend(of_read(name, rows))
+                    name, rows = read, []
+                rows.append(hit)
+            if len(out) >= ROWS_AT_ONCE:
+                yield flush()
+        if rows:
+            out.extend(of_read(name, rows))
+        yield flush()
+
+    ordered = hits.where("readid is not null").select("readid", *HIT).repartition("readid").sortWithinPartitions("readid", "q_start", "q_end", "ref", "r_start", "strand")
+    return ordered.mapInArrow(run, _OUT)
 
 
 def regions(rows: DataFrame, min_depth: float, min_size: int) -> DataFrame:
