@@ -38,6 +38,12 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--reference", help="FASTA of the genome; with it the package has sequences")
     r.add_argument("--id-width", type=int, default=4, help="digits of the numbers in the package")
     r.add_argument("--on-change", choices=("reset", "continue", "fail"), default="reset")
+    f = sub.add_parser("package", help="the package alone, from a table of unified circles")
+    f.add_argument("unified", help="folder with the table, as a run writes it")
+    f.add_argument("output")
+    f.add_argument("--prefix", default="sample")
+    f.add_argument("--reference")
+    f.add_argument("--id-width", type=int, default=4)
     c = sub.add_parser("init-config", help="write the default parameters")
     c.add_argument("path")
     s = sub.add_parser("show-checkpoint", help="what a folder holds")
@@ -70,6 +76,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:  # noqa: ANN001
                 raise FileNotFoundError(manifest)
             print(storage.read_text(spark, manifest))
             return OK
+        if args.command == "package":
+            from annulet.plans import deliverable
+            from annulet.session import session
+            from annulet.sources import text
+
+            spark = spark or session()
+            reference = text.chunked(text.fasta(spark, args.reference)) if args.reference else None
+            deliverable.write(spark, spark.read.parquet(args.unified), args.output, args.prefix, None, reference, args.id_width)
+            return OK
         if (args.force or args.stop_at) and not args.debug:
             print("--force and --stop-at need --debug", file=sys.stderr)
             return USAGE

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BYTES_AT_ONCE = 1 << 22  # masks and counts take about 60 bytes for each byte of text
 QUOTE, HARD, BLANK = 34, b";,|", b" \t"
 _IS_HARD, _IS_BLANK = (np.isin(np.arange(256), list(x)) for x in (HARD, BLANK))
 
@@ -132,11 +133,15 @@ def unpack(df: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parent, pos, values = split_buffer(batch.column(2))
-            at = pa.array(parent)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(pos, pa.int32()), values.cast(pa.string())], ["field", "rec_id", "pos", "val"]
-            )
+            size = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // BYTES_AT_ONCE)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(batch)]):
+                part = batch.slice(lo, hi - lo)
+                parent, pos, values = split_buffer(part.column(2))
+                at = pa.array(parent)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(pos, pa.int32()), values.cast(pa.string())], ["field", "rec_id", "pos", "val"]
+                )
 
     return df.select("field", F.col("rec_id").cast("bigint"), "packed").mapInArrow(run, "field string, rec_id bigint, pos int, val string")
 

@@ -21,13 +21,28 @@ def draw(name: str, low: int, high: int, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.lit(name), "id"), F.lit(high - low + 1)) + low
 
 
-def genome(spark: SparkSession, chromosomes: int, length: int, seed: int, chunk: int = 1 << 20) -> DataFrame:
-    """chr, start0, seq in chunks of random bases."""
+def genome(spark: SparkSession, chromosomes: int, length: int, seed: int, chunk: int = 1 << 20, families: int = 0, unit: int = 300, repeats: int = 0, divergence: float = 0.0) -> DataFrame:
+    """chr, start0, seq in chunks of random bases.
+
+    With ``families``, ``repeats`` places of every chunk hold the sequence of one of so many repeat families, ``unit``
+    bases long, of which each base of a copy differs with the probability ``divergence``.
+    """
+
+    def with_repeats(seq: np.ndarray, drawn: list[int]) -> np.ndarray:
+        rng = np.random.default_rng([*drawn, 1])
+        for _ in range(repeats if families and seq.size >= unit else 0):
+            copy = BASES[np.random.default_rng([seed, int(rng.integers(families)), 2]).integers(0, 4, unit)]
+            other = rng.random(unit) < divergence
+            copy[other] = BASES[rng.integers(0, 4, int(other.sum()))]
+            at = int(rng.integers(seq.size - unit + 1))
+            seq[at : at + unit] = copy
+        return seq
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pydict()
-            seqs = [BASES[np.random.default_rng([seed, c, s]).integers(0, 4, min(chunk, length - s))].tobytes().decode() for c, s in zip(rows["c"], rows["start0"])]
+            drawn = [[seed, c, s] for c, s in zip(rows["c"], rows["start0"])]
+            seqs = [with_repeats(BASES[np.random.default_rng(d).integers(0, 4, min(chunk, length - d[2]))], d).tobytes().decode() for d in drawn]
             yield pa.RecordBatch.from_arrays([pa.array([f"chr{c}" for c in rows["c"]]), batch.column(1), pa.array(seqs)], ["chr", "start0", "seq"])
 
     per = -(-length // chunk)

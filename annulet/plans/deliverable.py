@@ -100,3 +100,19 @@ def write(spark: SparkSession, unified: DataFrame, folder: str, prefix: str, rea
     storage.write_text(spark, sinks.html_report(f"Circles of {prefix}", sections), f"{folder}/{prefix}_report.html")
     storage.write_text(spark, json.dumps(sections, indent=2), f"{folder}/{prefix}_report.json")
     return sections
+
+
+def write_split_reads(found: DataFrame, overview: DataFrame, folder: str) -> None:
+    """The split-read circles and their overview as tab-separated tables; empty ones still have their header."""
+    sinks.write_table(found, f"{folder}/circles.tsv", sep="\t")
+    sinks.write_table(overview, f"{folder}/overview.tsv", sep="\t")
+
+
+def write_curated(simple: DataFrame, chimeric: DataFrame, folder: str, prefix: str, reference: DataFrame | None = None) -> None:
+    """The curated inferred circles, ``x_simple.csv`` and ``x_chimeric.csv``, with sequences where a reference is given."""
+    sinks.write_table(simple, f"{folder}/{prefix}_simple.csv")
+    sinks.write_table(chimeric, f"{folder}/{prefix}_chimeric.csv")
+    if reference is not None:
+        for kind, rows in (("UeccDNA_I", simple.withColumn("seg_index", F.lit(1))), ("CeccDNA_I", chimeric)):
+            segs = rows.select(F.col("eccDNA_id").alias("id"), F.col("seg_index").alias("seg"), "chr", "start0", "end0")
+            sinks.write_fasta(text.from_reference(reference, segs), f"{folder}/{prefix}_{kind}.fasta")

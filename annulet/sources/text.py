@@ -162,6 +162,11 @@ def require_width(path: str, least: int = 12, lines: int = 1000) -> None:
         raise ValueError("\n".join([f"too few fields in {path}:", *bad[:5], *more]))
 
 
+def sizes(records: DataFrame) -> DataFrame:
+    """id, length of the records: what an index of a reference tells besides places in the file."""
+    return records.select("id", F.length("seq").cast("bigint").alias("length"))
+
+
 CHUNK = 1 << 20  # bases of a chunk of the reference
 
 

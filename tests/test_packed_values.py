@@ -41,3 +41,13 @@ def test_table(spark):
     got = sorted(map(tuple, P.unpack(P.stack_fields(df, "rec_id", ["reads", "copies"], "loaded_at")).collect()))
     assert got == [("copies", 1, 1, "d"), ("reads", 1, 1, "c")]
     assert P.unpack(P.stack_fields(df.limit(0), "rec_id", ["reads"], "loaded_at")).count() == 0
+
+
+def test_long_fields_are_read_in_pieces(spark, monkeypatch):
+    rows = [("f", i, ";".join(f"v{j}" for j in range(n))) for i, n in enumerate((3, 0, 500, 1, 900, 2))] + [("f", 9, None)]
+    df = spark.createDataFrame(rows, "field string, rec_id bigint, packed string").coalesce(1)
+    monkeypatch.setattr(P, "BYTES_AT_ONCE", 100)
+    got = {}
+    for r in P.unpack(df).collect():
+        got.setdefault(r["rec_id"], []).append((r["pos"], r["val"]))
+    assert {k: sorted(v) for k, v in got.items()} == {i: [(j + 1, x) for j, x in enumerate(t.split(";"))] for _, i, t in rows if t}

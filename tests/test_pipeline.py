@@ -70,6 +70,8 @@ def test_standard_pipeline_from_the_command_line(spark, tmp_path, capsys):
     summary = {(r["kind"], r["state"]): r["circles"] for r in spark.read.parquet(f"{out}/summary").collect()}
     assert summary == {("Uecc", "Confirmed"): 4, ("Mecc", "Confirmed"): 4}
     assert cli.main(["show-checkpoint", out], spark) == cli.OK and "summary" in json.loads(capsys.readouterr().out)["done"]
+    assert cli.main(["package", f"{out}/unified", str(tmp_path / "again"), "--prefix", "z", "--id-width", "6"], spark) == cli.OK
+    assert spark.read.csv(str(tmp_path / "again/z_summary"), header=True).where("eccDNA_id = 'UeccDNA000001'").count() == 1
     assert cli.main(["run", "a", "b", "--force"]) == cli.USAGE and cli.main(["nothing"]) == cli.USAGE and cli.main(["show-checkpoint", str(tmp_path / "none")], spark) == cli.FAILED
     assert cli.main(["validate"]) == cli.OK and cli.main(["init-config", str(tmp_path / "c.json")]) == cli.OK
 
@@ -103,3 +105,15 @@ def test_package_of_circles_of_several_segments(spark, tmp_path):
     assert found["Circles"] == {"Cecc Confirmed": "2", "Cecc Inferred": "1"} and found["Lengths of Cecc"]["max"] == 8
     empty = deliverable.write(spark, unified.limit(0), str(tmp_path / "e"), "y")
     assert empty == {"Circles": {}} and lines("e/CeccDNA/y_cecc_segments.bed") == []
+
+
+def test_curated_and_split_read_tables(spark, tmp_path):
+    simple = spark.createDataFrame([("IUeccDNA1", "chr1", 1, 4, "+", 3)], "eccDNA_id string, chr string, start0 bigint, end0 bigint, strand string, length bigint")
+    chimeric = simple.selectExpr("'ICeccDNA1' eccDNA_id", "chr", "start0", "end0", "strand", "length", "explode(array(1, 2)) seg_index")
+    reference = text.chunked(spark.createDataFrame([("chr1", "ACGTA")], "id string, seq string"))
+    deliverable.write_curated(simple, chimeric, str(tmp_path), "s", reference)
+    assert spark.read.csv(str(tmp_path / "s_chimeric.csv"), header=True).count() == 2
+    assert [(r["id"], r["seq"]) for r in text.fasta(spark, str(tmp_path / "s_CeccDNA_I.fasta")).collect()] == [("ICeccDNA1", "CGTCGT")]
+    deliverable.write_split_reads(simple.limit(0), chimeric, str(tmp_path))
+    assert next((tmp_path / "circles.tsv").glob("part*")).read_text().split() == simple.columns
+    assert {(r["id"], r["length"]) for r in text.sizes(spark.createDataFrame([("a", "ACG"), ("b", "")], "id string, seq string")).collect()} == {("a", 3), ("b", 0)}

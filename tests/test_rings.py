@@ -81,6 +81,19 @@ def test_genome_and_mutations(spark):
     assert 350 < changed < 650 and all(set(r["b"]) <= set("ACGT") for r in rate)
 
 
+def test_repeat_families(spark):
+    g = simulate.genome(spark, 1, 40_000, 7, chunk=10_000, families=2, unit=50, repeats=20)
+    seqs = [r["seq"] for r in g.orderBy("start0").collect()]
+    count = {}
+    for s in seqs:
+        for i in range(len(s) - 49):
+            count[s[i : i + 50]] = count.get(s[i : i + 50], 0) + 1
+    common = sorted(count.values(), reverse=True)
+    assert common[0] >= 25 and common[1] >= 25 and common[0] + common[1] <= 80
+    plain = simulate.genome(spark, 1, 40_000, 7, chunk=10_000)
+    assert max(map(len, seqs)) == 10_000 and plain.count() == len(seqs)
+
+
 def in_turn(edges):
     """Predictions one by one."""
     taken, out = set(), set()
