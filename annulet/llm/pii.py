@@ -143,11 +143,11 @@ def _with_model(docs: DataFrame, model: DataFrame, apply: Callable[[pa.RecordBat
     """``apply`` on batches of (doc_id, text) with the model, or with the part of it that the texts of a chunk can ask for."""
     rows = model.limit(MOST + 1).collect()
     if len(rows) <= MOST:
-        small = model_of([r["kind"] for r in rows], [r["v"] for r in rows])
+        small = docs.sparkSession.sparkContext.broadcast(model_of([r["kind"] for r in rows], [r["v"] for r in rows]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield apply(batch, small)
+                yield apply(batch, small.value)
 
         return spread(docs).mapInArrow(run, schema)
     return _with_entries(docs, model, apply, schema)
