@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annulet.plans import alignment_queries, cluster_queries, data_quality, inferred_queries, interval_queries, more_queries, ring_queries, scalar_queries, split_read_queries, tandem_queries, walk_queries
+from annulet.plans import alignment_queries, cluster_queries, data_quality, inferred_queries, interval_queries, more_queries, ring_queries, scalar_queries, split_read_queries, tandem_queries, text_queries, walk_queries
 
-MODULES = (data_quality, alignment_queries, tandem_queries, interval_queries, inferred_queries, cluster_queries, scalar_queries, split_read_queries, ring_queries, walk_queries, more_queries)
+MODULES = (data_quality, alignment_queries, tandem_queries, interval_queries, inferred_queries, cluster_queries, scalar_queries, split_read_queries, ring_queries, walk_queries, text_queries, more_queries)
 FLAGSHIP = "q2_summary"
 
 

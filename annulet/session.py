@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for text that is written to be read again."""
+    _checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}/{name}"
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for costly work per row over input that came in few pieces."""
     cores = df.sparkSession.sparkContext.defaultParallelism

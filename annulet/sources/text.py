@@ -9,9 +9,12 @@ from __future__ import annotations
 import csv
 import gzip
 import itertools
+import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,8 @@ ALIGNMENT = "query_id string, subject_id string, identity double, alignment_leng
 
 
 def head(path: str, n: int = 1 << 16) -> bytes:
-    """The beginning of a file, unzipped; of one in another file system its first lines, read by Spark."""
-    if "://" in path:
+    """The beginning of a file, unzipped; of a folder, or of one in another file system, its first lines, read by Spark."""
+    if re.match(r"\w+:/", path) or os.path.isdir(path):
         rows = SparkSession.getActiveSession().read.text(path).limit(200).collect()
         return "\n".join(r["value"] for r in rows).encode()[:n]
     with open(path, "rb") as f:
@@ -122,7 +125,7 @@ def table(spark: SparkSession, paths: list[str], sep: str | None = None) -> Data
         try:
             if not head(p).strip():
                 continue
-        except FileNotFoundError:
+        except (FileNotFoundError, AnalysisException):  # no such path
             continue
         part = spark.read.csv(p, header=True, sep=sep or delimiter(p), inferSchema=True)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
