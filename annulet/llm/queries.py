@@ -80,8 +80,42 @@ _FILLED = " + ".join(
     [f"CAST({_T(c)} AS INT)" for c in ("chr", "strand", "reads")]
     + [f"CAST({_V(c)} AS INT)" for c in ("start0", "end0", "length", "copy_number", "match_degree", "confidence_score", "mapq_best", "identity_best", "query_cov_best")]
 )
+_SUM = lambda *cs: " + ".join(f"CAST({c} AS INT)" for c in cs)
+_KIND = lambda c: f"coalesce(nullif(regexp_extract({c}, '^\\s*I?([UMC])ecc', 1), ''), '?')"
+_ST = "CASE state WHEN 'Confirmed' THEN 2 WHEN 'Inferred' THEN 1 ELSE 0 END"
+_LATER = "st DESC, updated_at DESC NULLS LAST, rec_id"
+
+
+def _best(name: str, offered: str, trust: str, ties: str = "") -> str:
+    """The candidates of a bundle: the best record of each type, numbered by falling trust; and none of them."""
+    order = f"trust DESC, {ties}{_LATER}"
+    return f"""{name} AS (SELECT k, rec_id, ek AS kind, trust, row_number() OVER (PARTITION BY k ORDER BY {order}) AS i FROM (SELECT *, CAST(floor({trust}) AS BIGINT) + 20 * st AS trust FROM r WHERE {offered}
+  QUALIFY row_number() OVER (PARTITION BY k, ek ORDER BY {order}) = 1) UNION ALL SELECT DISTINCT k, NULL, NULL, 0, 99 FROM r)"""
+
+
+def _agree(a: str, b: str) -> str:
+    return f"({a} IS NULL OR {b} IS NULL OR '?' IN ({a}, {b}) OR {a} = {b})"
+
+
+_PLACE = [_T("chr"), _V("start0"), _V("end0"), _T("strand"), _V("length")]
+_QUALITY = [_V(c) for c in ("match_degree", "confidence_score", "mapq_best", "identity_best", "query_cov_best")]
+_RECORDS = f"""
+WITH r AS (SELECT *, upper(regexp_replace(cluster_id, '^\\s+|\\s+$', '', 'g')) AS k, {_ST} AS st, {_KIND('eccdna_type')} AS ek, {_FILLED} AS "full" FROM ecc_core WHERE {_T('cluster_id')}
+  QUALIFY row_number() OVER (PARTITION BY rec_id ORDER BY loaded_at DESC) = 1),
+ident AS (SELECT k, eccDNA_id, {_KIND('eccDNA_id')} AS kind FROM r WHERE {_T('eccDNA_id')} QUALIFY row_number() OVER (PARTITION BY k ORDER BY "full" DESC, {_LATER}) = 1),
+copies AS (SELECT k, copy_number FROM r WHERE {_V('copy_number')} AND copy_number > 0 QUALIFY row_number() OVER (PARTITION BY k ORDER BY {_LATER}) = 1),
+{_best('place', f"({_SUM(*_PLACE[:3])}) > 0 AND coalesce(eccdna_type <> 'Uecc' OR length = end0 - start0, TRUE)", f"({_SUM(*_PLACE)}) * 100 / 5")},
+{_best('support', _T('reads'), f"(1 + {_SUM(_T('per_read_copy_number'))}) * 100 / 2", 'read_count DESC NULLS LAST, ')},
+{_best('quality', f"({_SUM(*_QUALITY)}) > 0 AND coalesce((mapq_best < 20) = low_mapq, TRUE) AND coalesce((identity_best < 95) = low_identity, TRUE)", f"({_SUM(*_QUALITY)}) * 100 / 5")},
+pick AS (SELECT p.k, p.rec_id AS p, s.rec_id AS s, q.rec_id AS q FROM place p JOIN support s ON s.k = p.k JOIN quality q ON q.k = p.k LEFT JOIN ident n ON n.k = p.k
+  WHERE {' AND '.join(_agree(f'{a}.kind', f'{b}.kind') for a, b in ('np', 'ns', 'nq', 'ps', 'pq', 'sq'))}
+  QUALIFY row_number() OVER (PARTITION BY p.k ORDER BY p.trust + s.trust + q.trust DESC, p.i, s.i, q.i) = 1)
+SELECT pick.k AS cluster_id, n.eccDNA_id, c.copy_number, p.chr, p.start0, p.end0, p.strand, p.length, p.eccdna_type, s.reads, s.read_count, s.per_read_copy_number,
+  q.match_degree, q.confidence_score, q.mapq_best, q.identity_best, q.query_cov_best, q.query_cov_2nd, q.low_mapq, q.low_identity, coalesce(p.rec_id, 0) AS place_rec, coalesce(s.rec_id, 0) AS support_rec
+FROM pick LEFT JOIN ident n ON n.k = pick.k LEFT JOIN copies c ON c.k = pick.k LEFT JOIN r p ON p.rec_id = pick.p LEFT JOIN r s ON s.rec_id = pick.s LEFT JOIN r q ON q.rec_id = pick.q"""
 
 SQL = {
+    "p2_records": _RECORDS,
     "p2_found": f"""
 WITH r AS (SELECT *, upper(regexp_replace(cluster_id, '^\\s+|\\s+$', '', 'g')) AS k FROM ecc_core WHERE {_T('cluster_id')}
   QUALIFY row_number() OVER (PARTITION BY rec_id ORDER BY loaded_at DESC) = 1),
