@@ -22,6 +22,7 @@ another capitalised word that is no name; an empty corpus or an empty list of na
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -73,13 +74,13 @@ def good_numbers(seen: DataFrame, rounds: int, least: int = 3) -> DataFrame:
     # As many shapes as there are ways to write a number; letters are in no phone number.
     is_id = F.col("kind") == "id"
     sure = F.when(is_id, F.col("shape") == "MRN").otherwise(F.col("shape").rlike(r"^(\+|009+[^9]+9+[^9])"))
-    rows = cut(rows.withColumn("sure", sure & (is_id | ~F.col("shape").rlike("[A-Z]"))))
+    rows = rows.withColumn("sure", sure & (is_id | ~F.col("shape").rlike("[A-Z]")))
     # Candidates: shapes seen with such a word, or where half of all numbers are certain.
     first = rows.groupBy("kind", "context").agg(total, hits(F.col("said") | F.col("sure"))).where((F.col("hit") >= least) & (F.col("hit") * 2 >= F.col("n")))
     facts = rows.join(first.select("kind", "context", F.lit(True).alias("good")), ["kind", "context"], "left")
     facts = facts.groupBy("kind", "shape", "sure").agg(total, hits(F.col("said") | F.col("good")))
     enough = (F.col("hit") >= least) & (F.col("hit") * 100 >= F.col("n")) & (is_id | ~F.col("shape").rlike("[A-Z]"))
-    maybe = cut(facts.where(F.col("sure") | enough).select("kind", "shape"))
+    maybe = facts.where(F.col("sure") | enough).select("kind", "shape")
     edges = cut(rows.join(maybe, ["kind", "shape"]).groupBy("kind", "context", "shape", "said", "sure").agg(total))
     shapes = edges.where("sure").select("kind", "shape").distinct()
     for _ in range(rounds):
@@ -90,7 +91,7 @@ def good_numbers(seen: DataFrame, rounds: int, least: int = 3) -> DataFrame:
         held = inside.groupBy("kind", "shape").agg(total, hits(F.col("said") | F.col("good"))).where((F.col("hit") >= least) & (F.col("hit") >= 0.6 * F.col("n")))
         shapes = held.select("kind", "shape")
     out = contexts.select("kind", F.col("context").alias("v"))
-    for name, df in (("_shape", shapes), ("_maybe", maybe)):
+    for name, df in (("_shape", shapes), ("_maybe", edges.select("kind", "shape").distinct())):
         out = out.unionByName(df.select(F.concat("kind", F.lit(name)).alias("kind"), F.col("shape").alias("v")))
     return out
 
@@ -105,13 +106,12 @@ def good_streets(seen: DataFrame, rounds: int = 2, least: int = 3) -> DataFrame:
         contexts = contexts.where((F.col("hit") >= least) & (F.col("hit") >= 0.5 * F.col("n"))).select("context", F.lit(1).alias("good"))
         inside = rows.join(contexts, "context", "left").withColumn("hit", F.when(F.col("coded") | (F.col("good") == 1), F.col("n")).otherwise(0))
         held = inside.groupBy("word").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit"))
-        words = cut(held.where((F.col("word") == "") | ((F.col("hit") >= least) & (F.col("hit") >= 0.6 * F.col("n")))).select("word"))
+        words = (held.where((F.col("word") == "") | ((F.col("hit") >= least) & (F.col("hit") >= 0.6 * F.col("n")))).select("word"))
     return words.where("word <> ''").select(F.lit("street").alias("kind"), F.col("word").alias("v"))
 
 
-def learned(df: DataFrame, person_words: DataFrame, rounds: int = ROUNDS, least: int = 2) -> DataFrame:
-    """kind, v: the model of a corpus (text) and an incomplete list of names (word, word_kind), as a table."""
-    seen = cut(observations(df))
+def good_names(seen: DataFrame, person_words: DataFrame, rounds: int, least: int) -> DataFrame:
+    """kind, v: names, listed and learned, words that are names only where people are named, and contexts of people."""
     edges = seen.where("kind = 'edge'").select(F.col("a").alias("pattern"), F.col("b").alias("word"), "n")
     cases = seen.where("kind = 'case'").groupBy(F.col("a").alias("word")).agg(
         *(F.sum(F.when(F.col("b") == c, F.col("n")).otherwise(0)).alias(c) for c in ("cap", "low", "open", "han"))
@@ -124,12 +124,20 @@ def learned(df: DataFrame, person_words: DataFrame, rounds: int = ROUNDS, least:
         patterns = good_patterns(edges, known)
         found = good_words(edges, patterns, cases).join(either, "word", "left_anti")
         known = cut(names.unionByName(found).distinct())
-    persons = good_patterns(edges, known, share=0.8)
-    model = seen.where(f"kind = 'town' and n >= {least}").select("kind", F.col("a").alias("v"))
-    model = model.unionByName(good_numbers(seen, rounds)).unionByName(good_streets(seen))
-    for kind, words in (("name", known), ("either", either), ("person", persons.withColumnRenamed("pattern", "word"))):
-        model = model.unionByName(words.select(F.lit(kind).alias("kind"), F.col("word").alias("v")))
-    return cut(model.distinct())
+    persons = good_patterns(edges, known, share=0.8).withColumnRenamed("pattern", "word")
+    parts = [words.select(F.lit(kind).alias("kind"), F.col("word").alias("v")) for kind, words in (("name", known), ("either", either), ("person", persons))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def learned(df: DataFrame, person_words: DataFrame, rounds: int = ROUNDS, least: int = 2) -> DataFrame:
+    """kind, v: the model of a corpus (text) and an incomplete list of names (word, word_kind), as a table."""
+    seen = cut(observations(df))
+    towns = seen.where(f"kind = 'town' and n >= {least}").select("kind", F.col("a").alias("v"))
+    # The three graphs have nothing to do with each other, so their rounds run side by side.
+    with ThreadPoolExecutor(3) as side_by_side:
+        parts = [side_by_side.submit(f, *a) for f, a in ((good_names, (seen, person_words, rounds, least)), (good_numbers, (seen, rounds)), (good_streets, (seen,)))]
+        names, numbers, streets = (p.result() for p in parts)
+    return cut(names.unionByName(numbers).unionByName(streets).unionByName(towns).distinct())
 
 
 def model_of(kinds: list[str], values: list[str]) -> pii_kernel.Model:
