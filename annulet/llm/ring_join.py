@@ -33,7 +33,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from annulet.functions.rings import least_rotation
 from annulet.llm import ring_kernel
@@ -48,7 +47,8 @@ ENTRIES_OF_A_RING = 4  # so many a shingle may have in one ring, on the average,
 MOST_PARTS = 20_000
 LETTERS_AT_ONCE = 4_000_000
 
-_ENTRY = T.StructType([T.StructField(c, T.IntegerType() if c in ("part", "i", "j", "own", "entries") else T.BinaryType()) for c in ("part", "i", "j", "own", "entries", "runs", "h", "ring", "context")])
+_ENTRY = "part int, i int, j int, own int, entries int, base bigint, runs binary, sizes binary, h binary, ring binary, context binary"
+_ENTRY_ARROW = pa.schema([(c.split()[0], {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[c.split()[1]]) for c in _ENTRY.split(", ")])
 
 
 def _turned(df: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def shingle_length(letters: int) -> int:
 
 
 def _entries(reps: DataFrame, percent: int, most: int, parts: int, blocks: dict[int, int]) -> DataFrame:
-    """part, i, j, own, other, entries, base, lens, h, ring, context: the entries of some rings that belong to one part of the hashes, packed.
+    """The entries of some rings that belong to one part of the hashes, packed: rising hashes, ring numbers from ``base`` on, their lengths, contexts.
 
     A part of several ``blocks`` is met in pairs of blocks (i, j), so its entries go to as many tasks; which of the two they are is ``own``.
     """
@@ -97,7 +97,7 @@ def _entries(reps: DataFrame, percent: int, most: int, parts: int, blocks: dict[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nums, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // LETTERS_AT_ONCE)) + 1
+            cuts = np.flatnonzero((np.diff(np.cumsum(sizes, dtype=np.int64) // LETTERS_AT_ONCE) > 0) | (np.diff(nums) != 1)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(nums)]):
                 rings = [ring_kernel.unpack(p, n) for p, n in zip(batch.column(2).slice(lo, hi - lo).to_pylist(), sizes[lo:hi].tolist())]
                 for at in range(0, len(rings), 1 << 16):
@@ -107,16 +107,19 @@ def _entries(reps: DataFrame, percent: int, most: int, parts: int, blocks: dict[
     def packed(rings: list[bytes], nums: np.ndarray) -> Iterator[pa.RecordBatch]:
         h, ring, context = ring_kernel.keys(rings, percent, most)
         bounds = np.searchsorted(h, (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
-        runs = _runs(nums, np.array([len(s) for s in rings], np.int64))
+        n = np.array([len(s) for s in rings], np.int64)
+        runs = _runs(n)
+        if len(runs) * parts > 2 * h.size:  # then lengths cost less where they are wanted
+            runs = None
         rows = []
         for part in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
             k = slice(bounds[part], bounds[part + 1])
             b = blocks.get(part, 1)
             own = zlib.crc32(nums[:1].tobytes()) % b
-            row = {"part": part, "own": own, "entries": int(k.stop - k.start), "runs": runs, "h": _planes(np.diff(h[k], prepend=np.uint32(0))), "ring": _planes(ring[k].astype(np.uint16)), "context": context[k].tobytes()}
+            row = {"part": part, "own": own, "entries": int(k.stop - k.start), "base": int(nums[0]), "runs": runs, "sizes": None if runs else _planes(n[ring[k]].astype(np.uint32)), "h": _planes(np.diff(h[k], prepend=np.uint32(0))), "ring": _planes(ring[k].astype(np.uint16)), "context": context[k].tobytes()}
             rows += [row | {"i": min(own, o), "j": max(own, o)} for o in range(b)]
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(f.name, pa.int32() if f.dataType.typeName() == "integer" else pa.binary()) for f in _ENTRY.fields]))
+            yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY_ARROW)
 
     return reps.select("num", "n", "ring").mapInArrow(run, _ENTRY)
 
@@ -131,16 +134,15 @@ def _from_planes(b: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def _runs(nums: np.ndarray, sizes: np.ndarray) -> bytes:
-    """Numbers and lengths of rings, as stretches (first number, length, rings) in which numbers follow each other."""
-    heads = np.flatnonzero(np.concatenate([[True], (np.diff(nums) != 1) | (np.diff(sizes) != 0)]))
-    return np.stack([nums[heads], sizes[heads], np.diff(np.append(heads, nums.size))], axis=1).astype(np.int64).tobytes()
+def _runs(sizes: np.ndarray) -> bytes:
+    """Lengths of rings in a row, as stretches (length, rings): few, for rings come sorted by length."""
+    heads = np.flatnonzero(np.diff(sizes, prepend=-1))
+    return np.stack([sizes[heads], np.diff(np.append(heads, sizes.size))], axis=1).astype(np.uint32).tobytes()
 
 
-def _from_runs(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-    first, size, count = np.frombuffer(b, np.int64).reshape(-1, 3).T
-    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return np.repeat(first, count) + step, np.repeat(size, count)
+def _from_runs(b: bytes) -> np.ndarray:
+    size, count = np.frombuffer(b, np.uint32).reshape(-1, 2).T
+    return np.repeat(size, count)
 
 
 def class_pairs(reps: DataFrame, percent: int) -> DataFrame:
@@ -158,12 +160,12 @@ def class_pairs(reps: DataFrame, percent: int) -> DataFrame:
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         one = key[1].as_py() == key[2].as_py()
-        held = [table[c].to_pylist() for c in ("runs", "h", "ring", "context", "own")]
+        held = [table[c].to_pylist() for c in ("base", "runs", "sizes", "h", "ring", "context", "own")]
         columns: list[list[np.ndarray]] = [[] for _ in range(5)]
-        for runs, h, ring, context, own in zip(*held):
-            nums, sizes = _from_runs(runs)
+        for base, runs, sizes, h, ring, context, own in zip(*held):
             at = _from_planes(ring, np.uint16)
-            for c, v in zip(columns, (np.cumsum(_from_planes(h, np.uint32), dtype=np.uint32), sizes[at], nums[at], np.frombuffer(context, np.uint16), np.full(at.size, own))):
+            n = _from_planes(sizes, np.uint32) if runs is None else _from_runs(runs)[at]
+            for c, v in zip(columns, (np.cumsum(_from_planes(h, np.uint32), dtype=np.uint32), n.astype(np.int64), base + at.astype(np.int64), np.frombuffer(context, np.uint16), np.full(at.size, own))):
                 c.append(v)
         h, n, num, context, own = (np.concatenate(c) for c in columns)
         a, b = ring_kernel.meeting(h, n, num, context, None if one else own, percent)
