@@ -125,13 +125,6 @@ def t4_two_best_loci(spark: SparkSession, d: str) -> DataFrame:
 
 
 def t8_by_priority(spark: SparkSession, d: str) -> DataFrame:
-    """The three reads of each class that come first by name, as its SQL has it; ``t8_all_by_priority`` has all reads."""
-    classes = tandem.read_classes(tandem.rings(T._rows(spark, d)))
-    w = Window.partitionBy("readClass").orderBy("readName")
-    return classes.withColumn("place", F.row_number().over(w)).where("place <= 3")
-
-
-def t8_all_by_priority(spark: SparkSession, d: str) -> DataFrame:
     """All reads with their place along the priority of their class, then their name."""
     classes = tandem.read_classes(tandem.rings(T._rows(spark, d)))
     priority = F.array_position(F.array(*map(F.lit, tandem.CLASSES)), F.col("readClass"))
@@ -199,7 +192,7 @@ def s7_fasta_records(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     j17_tandem_overlaps, a14_distinct_counts, a32_majority_strand, a34_query_coverage, a35_best_site, a41_ordered_distinct, x3_query_intervals, x19_near_or_overlapping, x21_cs_counts,
-    f10_supported_edges, f19_standard_schema, f20_known_ids, f22_partly_overlapping, w3_group_sizes, t2_first_of_each, t4_two_best_loci, t8_by_priority, t8_all_by_priority, u6_intersection, j4_metadata_lookup,
+    f10_supported_edges, f19_standard_schema, f20_known_ids, f22_partly_overlapping, w3_group_sizes, t2_first_of_each, t4_two_best_loci, t8_by_priority, u6_intersection, j4_metadata_lookup,
     j21_jitter_pairs, g12_read_components, g13_circular_components, s20_segment_bed, s7_fasta_records,
 )}
 
@@ -226,7 +219,7 @@ SQL = {
     "w3_group_sizes": f"WITH {K._CORE} SELECT rec_id, count(*) OVER (PARTITION BY cluster) AS hit_count FROM core",
     "t2_first_of_each": f"SELECT readName, rec_id FROM {_T} QUALIFY row_number() OVER (PARTITION BY readName ORDER BY start, rec_id) = 1",
     "t4_two_best_loci": f"{A._ALL} SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY cov DESC, locus) AS n, locus, {fixed_sql('cov', 6)} AS cov FROM loci QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cov DESC, locus) <= 2",
-    "t8_by_priority": f"WITH {T._RINGS} SELECT readName, readClass, row_number() OVER (PARTITION BY readClass ORDER BY readName) AS place FROM classes QUALIFY row_number() OVER (PARTITION BY readClass ORDER BY readName) <= 3",
+    "t8_by_priority": f"WITH {T._RINGS} SELECT readName, readClass, row_number() OVER (ORDER BY list_position({list(tandem.CLASSES)!r}, readClass), readName) AS place FROM classes",
     "u6_intersection": f"SELECT readName FROM {_T} INTERSECT SELECT string_split(query_id, '|')[1] FROM {_A}",
     "j4_metadata_lookup": f"""WITH {A._PREP}, r AS (SELECT concat_ws('|', readName, repN, CAST(consLen AS VARCHAR), CAST(copyNum AS VARCHAR), 'circular') AS id, rec_id, readName, consLen FROM {_T} WHERE copyNum IS NOT NULL),
       f AS (SELECT id, arg_min(consLen, rec_id) AS n FROM r GROUP BY id), g AS (SELECT readName, arg_min(consLen, rec_id) AS n FROM r GROUP BY readName)
