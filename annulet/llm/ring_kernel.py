@@ -259,6 +259,8 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def meeting(h: np.ndarray, n: np.ndarray, num: np.ndarray, context: np.ndarray, side: np.ndarray | None = None, percent: int = 6) -> tuple[np.ndarray, np.ndarray]:
     """num pairs, each once, of rings that share a shingle, have fitting lengths and contexts, and are of both sides if there are two."""
+    names, num = np.unique(num, return_inverse=True)
+    num = num.astype(np.uint64)  # below 2**32, so two of them are one number
     key = (h.astype(np.uint64) << np.uint64(32)) | n.astype(np.uint64)
     order = np.argsort(key, kind="stable")
     key, n, num, context = key[order], n[order], num[order], context[order]
@@ -266,7 +268,7 @@ def meeting(h: np.ndarray, n: np.ndarray, num: np.ndarray, context: np.ndarray,
     low = np.searchsorted(key, key - edits(n, percent).astype(np.uint64))
     count = np.arange(key.size) - low
     ends = np.cumsum(count)
-    out = [np.zeros((0, 2), np.int64)]
+    found, fresh, held = np.zeros(0, np.uint64), [], 0
     compared = (shingle_length(np.arange(percent, 4001), percent, CONTEXT)[edits(np.arange(percent, 4001), percent) > 0] >= CONTEXT).all()
     at = 0
     while at < key.size:  # some entries at a time; one entry with very many before it in blocks
@@ -279,10 +281,13 @@ def meeting(h: np.ndarray, n: np.ndarray, num: np.ndarray, context: np.ndarray,
             a, b = a[ok], b[ok]
             ok = alike(context[a], context[b]) if compared else slice(None)  # shorter shingles may have more edits behind them
             a, b = num[a[ok]], num[b[ok]]
-            out.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
+            fresh.append(np.unique((np.minimum(a, b) << np.uint64(32)) | np.maximum(a, b)))
+            held += fresh[-1].size
+            if held > max(TESTS_AT_ONCE, found.size):  # many rings that are alike meet again and again
+                found, fresh, held = np.unique(np.concatenate([found, *fresh])), [], 0
         at = stop
-    pairs = np.unique(np.concatenate(out), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    found = np.unique(np.concatenate([found, *fresh]))
+    return names[(found >> np.uint64(32)).astype(np.int64)], names[(found & np.uint64(0xFFFFFFFF)).astype(np.int64)]
 
 
 def profiles(rings: list[bytes], q: int = 4) -> np.ndarray:

@@ -56,6 +56,18 @@ def test_kernel_against_brute_force(trial):
         assert {(int(i), int(j)) for i, j in zip(a[good], b[good])} == want
 
 
+def test_many_rings_that_are_alike(monkeypatch):
+    rnd = random.Random(3)
+    base = "".join(rnd.choice("ACGT") for _ in range(120))
+    rings = K.canonical([changed(base, 2, rnd).encode() for _ in range(150)])
+    h, ring, context = K.keys(rings, 6, 9)
+    n, num = np.array([len(s) for s in rings])[ring], (1 << 40) - 7 * ring
+    want = set(zip(*(x.tolist() for x in K.meeting(h, n, num, context))))
+    monkeypatch.setattr(K, "TESTS_AT_ONCE", 500)
+    got = list(zip(*(x.tolist() for x in K.meeting(h, n, num, context))))
+    assert set(got) == want and len(got) == len(want) == 150 * 149 // 2
+
+
 def test_every_ring_has_room_for_its_shingles():
     for most in (8, 9, 12, 13):
         n = np.arange(16, 5000)
