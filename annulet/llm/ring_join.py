@@ -211,10 +211,12 @@ def groups(reps: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
     table = reps.select("cls").join(sizes, "cls", "left").select("cls", F.coalesce("size", F.lit(1)).alias("size"))
     ways = pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     near = ways.join(table.select(F.col("cls").alias("dst"), "size"), "dst").groupBy(F.col("src").alias("cls")).agg(F.sum("size").alias("n"))
-    placed = components(table.select(F.col("cls").alias("node")), pairs).select(F.col("node").alias("cls"), F.col("component").alias("group_id"))
-    facts = table.join(near, "cls", "left").join(placed, "cls").select("cls", "group_id", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("links"))
-    ids = reps.select(F.col("cls").alias("id"), "cls").unionByName(members.where("id <> cls"))
-    return ids.join(facts, "cls").select("id", F.col("cls").alias("class_id"), "links", "group_id")
+    # Only linked classes take part in the components; what has no partner is a group of its own.
+    placed = components(ways.select(F.col("src").alias("node")), pairs).select(F.col("node").alias("cls"), F.col("component").alias("group_id"))
+    facts = table.join(near, "cls", "left").join(placed, "cls", "left")
+    facts = facts.select("cls", F.coalesce("group_id", "cls").alias("group_id"), (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("links"))
+    others = members.where("id <> cls").join(facts, "cls").select("id", F.col("cls").alias("class_id"), "links", "group_id")
+    return facts.select(F.col("cls").alias("id"), F.col("cls").alias("class_id"), "links", "group_id").unionByName(others)
 
 
 def ring_pairs(df: DataFrame, percent: int = 6) -> DataFrame:
