@@ -79,7 +79,7 @@ def classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     best = spread.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "ring")).alias("r"), F.max("id").alias("top"))
     reps = cut(best.select("h1", "h2", F.col("r.id").alias("cls"), "top", "r.n", "r.ring").sortWithinPartitions("n"))
     several = reps.where("cls < top").select("h1", "h2", "cls")
-    members = turned.select("id", "h1", "h2").join(several, ["h1", "h2"]).select("id", "cls").distinct()
+    members = cut(turned.select("id", "h1", "h2").join(several, ["h1", "h2"]).select("id", "cls").distinct())  # read several times
     return reps.select("cls", "n", "ring", F.monotonically_increasing_id().alias("num")), members
 
 
